@@ -117,9 +117,20 @@ class Contract:
         return [f.name for f in self.fields if f.pii or f.mask]
 
     def to_struct_type(self) -> T.StructType:
-        return T.StructType(
-            [T.StructField(f.name, T.StringType() if self.cast_to_string else f.spark_type) for f in self.fields]
-        )
+        """Columns of the stored table, with the mechanics of a type 2 dimension."""
+        declared = [
+            T.StructField(f.name, T.StringType() if self.cast_to_string else f.spark_type) for f in self.fields
+        ]
+        if self.scd2 is None:
+            return T.StructType(declared)
+        s = self.scd2
+        mechanics = [
+            T.StructField(s.effective_from, T.TimestampType()), T.StructField(s.effective_to, T.TimestampType()),
+            T.StructField(s.current_flag, T.BooleanType()),
+        ]
+        if s.version:
+            mechanics.append(T.StructField(s.version, T.LongType()))
+        return T.StructType([T.StructField(s.surrogate_key, T.StringType()), *declared, *mechanics])
 
     def with_(self, **changes: Any) -> Contract:
         return replace(self, **changes)
@@ -147,6 +158,8 @@ def check_join_masks(contracts: Mapping[str, Contract]) -> list[str]:
             if fk is None or fk.contract not in contracts:
                 continue
             other = contracts[fk.contract]
+            if other.scd2 and fk.column == other.scd2.surrogate_key:
+                continue
             if fk.column not in other.field_names:
                 problems.append(f"{contract.name}.{f.name}: {fk.contract} has no column {fk.column}")
             elif other.field(fk.column).mask != f.mask:

@@ -14,6 +14,7 @@ from ..operators import dedup, privacy, quality, schema, scd2
 from ..session import scratch_path
 from ..sinks.runlog import RUN_LOG_TABLE, append_run, high_watermark, new_run_id
 from ..sinks.tables import Tables
+from ..sources.documents import extract_fields, read_documents
 from ..sources.landing import SOURCE_FILE, SOURCE_MTIME, read_incremental, read_landing
 
 STAMP_SOURCE = "_source"
@@ -87,7 +88,9 @@ def resolve_inputs(spark: SparkSession, contract: Contract, tables: Tables,
         inputs = {"source": tables.read(source.path)}
     else:
         path = f"{landing_root or tables.root}/{source.path}"
-        if source.load_mode == "incremental":
+        if source.format == "text":
+            inputs = {"source": extract_fields(read_documents(spark, path), contract)}
+        elif source.load_mode == "incremental":
             inputs = {"source": read_incremental(spark, contract, path, high_watermark(spark, tables, contract.name))}
         else:
             inputs = {"source": read_landing(spark, contract, path)}

@@ -1,6 +1,6 @@
 """The registered queries."""
 
-from . import contracts, governance, history, ingest, operations, products  # noqa: F401
+from . import governance, history, ingest, products, recipes  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
