@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..operators import dedup, privacy, quality, schema, scd2
-from ..session import scratch_path
+from ..session import apply_settings, scratch_path
 from ..sinks.runlog import RUN_LOG_TABLE, append_run, high_watermark, new_run_id
 from ..sinks.tables import Tables
 from ..sources.documents import extract_fields, read_documents
@@ -143,6 +143,7 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     and bad. That is the only pass over the source: both outputs and all counts come
     from it, and a lost executor costs at most the tasks it ran.
     """
+    apply_settings(spark)
     run_id = run_id or new_run_id()
     if once and _already_done(tables, contract, run_id):
         return RunResult(contract.name, contract.layer, "skipped")

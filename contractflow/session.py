@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
     # same key: one more exchange is cheaper than one task with a third of all rows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # In Spark 4.1 a union of inputs that share a hash partitioning is taken to have it
+    # too, but adaptive coalescing may merge the partitions of each input differently.
+    # An aggregate or window right above then misses rows of the same key.
+    "spark.sql.unionOutputPartitioning": "false",
     # Rewrites of one partition must leave the other partitions alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import Contract
@@ -17,7 +17,7 @@ LOOP_INTERVAL = "300 seconds"
 BatchHandler = Callable[[DataFrame, int], None]
 
 
-def contract_batches(spark: SparkSession, tables: Tables, contract: Contract, *,
+def contract_batches(tables: Tables, contract: Contract, *,
                      on_error: Callable[[Exception, int], None] | None = None) -> BatchHandler:
     """A ``foreachBatch`` handler that runs one contract on each micro-batch.
 
@@ -28,7 +28,10 @@ def contract_batches(spark: SparkSession, tables: Tables, contract: Contract, *,
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         try:
-            run_contract(spark, contract, tables, {"source": batch}, run_id=f"batch-{batch_id}", once=True)
+            # The batch lives in its own copy of the session.
+            session = batch.sparkSession
+            run_contract(session, contract, Tables(session, tables.root), {"source": batch},
+                         run_id=f"batch-{batch_id}", once=True)
         except Exception as error:  # noqa: BLE001 - the caller decides
             if on_error is None:
                 raise
@@ -37,10 +40,10 @@ def contract_batches(spark: SparkSession, tables: Tables, contract: Contract, *,
     return handle
 
 
-def start_contract_stream(spark: SparkSession, tables: Tables, contract: Contract, source: DataFrame,
+def start_contract_stream(tables: Tables, contract: Contract, source: DataFrame,
                           checkpoint: str, *, available_now: bool = False, trigger: str = LOOP_INTERVAL,
                           on_error: Callable[[Exception, int], None] | None = None) -> StreamingQuery:
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        contract_batches(spark, tables, contract, on_error=on_error)
+        contract_batches(tables, contract, on_error=on_error)
     )
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
