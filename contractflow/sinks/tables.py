@@ -8,15 +8,20 @@ rewrites of single partitions happen inside the current version.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.joins import join_composite
 from ..operators.merge import merge_upsert
 
 _POINTER = "_current"
+MAX_PARTITION_LITERALS = 500
 
 
 class Tables:
@@ -30,29 +35,33 @@ class Tables:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _current(self, name: str) -> str | None:
+    def _current(self, name: str) -> dict | None:
         fs, pointer = self._fs(f"{self.root}/{name}/{_POINTER}")
         if not fs.exists(pointer):
             return None
         stream = fs.open(pointer)
         try:
-            return bytes(stream.readNBytes(256)).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def _switch(self, name: str, version: str) -> None:
+    def _switch(self, name: str, version: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
         fs, pointer = self._fs(f"{self.root}/{name}/{_POINTER}")
+        content = {"version": version, "schema": schema.jsonValue(), "partition_by": list(partition_by)}
         stream = fs.create(pointer, True)
         try:
-            stream.write(bytearray(version.encode()))
+            stream.write(bytearray(json.dumps(content).encode()))
         finally:
             stream.close()
 
-    def path(self, name: str) -> str:
-        version = self._current(name)
-        if version is None:
+    def _known(self, name: str) -> dict:
+        current = self._current(name)
+        if current is None:
             raise FileNotFoundError(f"no table {name} below {self.root}")
-        return f"{self.root}/{name}/{version}"
+        return current
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}/{self._known(name)['version']}"
 
     # -- reads ---------------------------------------------------------------
 
@@ -60,8 +69,10 @@ class Tables:
         return self._current(name) is not None
 
     def read(self, name: str) -> DataFrame:
-        # mergeSchema: later appends may have added columns.
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
+        """The current version, read with its recorded schema: no file is opened to infer one."""
+        current = self._known(name)
+        schema = T.StructType.fromJson(current["schema"])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{current['version']}")
 
     # -- writes --------------------------------------------------------------
 
@@ -69,42 +80,72 @@ class Tables:
         """Write a new version and make it current. ``df`` may read the old one."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.root}/{name}/{version}")
-        self._switch(name, version)
+        self._switch(name, version, df.schema, partition_by)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        if not self.exists(name):
+        """Add rows. New columns widen the schema; older files give NULL for them."""
+        current = self._current(name)
+        if current is None:
             self.replace(name, df, partition_by)
-        else:
-            df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
+            return
+        schema = T.StructType.fromJson(current["schema"])
+        known = {f.name: f.dataType for f in schema.fields}
+        aligned = df.select(*[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in df.columns])
+        aligned.write.mode("append").partitionBy(*current["partition_by"]).parquet(
+            f"{self.root}/{name}/{current['version']}")
+        new = [f for f in df.schema.fields if f.name not in known]
+        if new:
+            self._switch(name, current["version"], T.StructType([*schema.fields, *new]), current["partition_by"])
 
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = (),
               evolution: str = "append") -> None:
-        """Upsert by key.
+        """Upsert by key. On a partitioned table only the touched partitions are rewritten.
 
-        Where the partition columns are part of the key, a row cannot move between
-        partitions, and only the partitions that occur in the source are rewritten.
+        Touched are the partitions of the source rows and those that hold the old rows of
+        the same keys. They are found from the key and partition columns alone. A partition
+        that would end up empty cannot be overwritten with rows, so then, and for tables
+        without partitions, a whole new version is written.
         """
-        if not self.exists(name):
+        current = self._current(name)
+        if current is None:
             self.replace(name, merge_upsert(source.limit(0), source, keys), partition_by)
             return
-        target = self.read(name)
-        if partition_by and set(partition_by) <= set(keys):
-            touched = source.select(*partition_by).distinct()
-            target = target.join(F.broadcast(touched) if len(partition_by) == 1 and self._few(touched) else touched,
-                                 list(partition_by), "left_semi")
-            merged = merge_upsert(target, source, keys, evolution=evolution)
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*partition_by).parquet(self.path(name)))
-            return
-        self.replace(name, merge_upsert(target, source, keys, evolution=evolution), partition_by)
-
-    def _few(self, df: DataFrame, bound: int = 100_000) -> bool:
-        return df.limit(bound + 1).count() <= bound
-
-    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        """Replace just the partitions that ``df`` holds."""
+        target, parts = self.read(name), current["partition_by"]
+        new_columns = set(source.columns) - set(target.columns)
+        if parts and not new_columns:
+            incoming = source.select(*parts).distinct()
+            if set(parts) <= set(keys):
+                touched = incoming  # a row cannot change its partition
+                emptied = None
+            else:
+                ids = target.select(*dict.fromkeys([*keys, *parts]))
+                fresh = source.select(*keys).distinct()
+                touched = ids.join(fresh, list(keys), "left_semi").select(*parts).unionByName(incoming).distinct()
+                kept = ids.join(fresh, list(keys), "left_anti").select(*parts).unionByName(incoming).distinct()
+                emptied = join_composite(touched, kept, parts, "left_anti", null_safe=True)
+            if emptied is None or emptied.isEmpty():
+                part_rows = self._in_partitions(target, touched, parts)
+                self.overwrite_partitions(name, merge_upsert(part_rows, source, keys, evolution=evolution))
+                return
+        self.replace(name, merge_upsert(target, source, keys, evolution=evolution), parts)
+
+    def _in_partitions(self, df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+        """Rows of the given partitions, NULL partitions included.
+
+        Up to ``MAX_PARTITION_LITERALS`` partitions become a static partition filter, so
+        the others are not even listed; more are joined.
+        """
+        values = touched.limit(MAX_PARTITION_LITERALS + 1).collect()
+        if len(values) > MAX_PARTITION_LITERALS:
+            return join_composite(df, touched, parts, "left_semi", null_safe=True)
+        wanted = [reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v[p])) for p in parts]) for v in values]
+        return df.filter(reduce(Column.__or__, wanted) if wanted else F.lit(False))
+
+    def overwrite_partitions(self, name: str, df: DataFrame) -> None:
+        """Replace just the partitions that ``df`` holds. ``df`` may read them."""
+        current = self._known(name)
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(self.path(name)))
+         .partitionBy(*current["partition_by"]).parquet(f"{self.root}/{name}/{current['version']}"))
 
     # -- resets --------------------------------------------------------------
 
@@ -114,19 +155,24 @@ class Tables:
 
     def truncate(self, name: str) -> None:
         """Reload: keep the schema, drop the rows."""
-        self.replace(name, self.read(name).limit(0))
+        self.replace(name, self.read(name).limit(0), self._known(name)["partition_by"])
 
     def drop(self, name: str) -> None:
         """Reset: forget the table. Files stay for the housekeeping of the platform."""
         fs, pointer = self._fs(f"{self.root}/{name}/{_POINTER}")
         fs.delete(pointer, False)
 
-    def compact(self, name: str, target_files: int, cluster_by: Sequence[str] = (),
-                partition_by: Sequence[str] = ()) -> None:
-        """Rewrite into fewer files, sorted by the columns that queries filter on."""
-        df = self.read(name)
+    def compact(self, name: str, target_files: int, cluster_by: Sequence[str] = ()) -> None:
+        """Rewrite into fewer files, sorted by the columns that queries filter on.
+
+        Range partitioning splits by sampled values, so a frequent value of the first
+        column is spread by the next ones. A partitioned table is clustered by its
+        partition columns first, so that each task writes few files.
+        """
+        df, parts = self.read(name), self._known(name)["partition_by"]
+        cluster_by = [*parts, *cluster_by]
         if cluster_by:
             df = df.repartitionByRange(target_files, *cluster_by).sortWithinPartitions(*cluster_by)
         else:
             df = df.repartition(target_files)
-        self.replace(name, df, partition_by)
+        self.replace(name, df, parts)

@@ -57,9 +57,30 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tables):
 
 def test_a_row_may_change_partition_when_the_key_does_not_hold_it(spark, tables):
     schema = "k int, day string"
-    tables.merge("t", spark.createDataFrame([(1, "d1"), (2, "d1")], schema), ["k"], ["day"])
-    tables.merge("t", spark.createDataFrame([(1, "d2")], schema), ["k"], ["day"])
+    tables.merge("t", spark.createDataFrame([(1, "d0"), (2, "d1")], schema), ["k"], ["day"])
+    tables.merge("t", spark.createDataFrame([(1, "d2")], schema), ["k"], ["day"])  # d0 ends up empty
     assert _rows(tables.read("t").select("k", "day")) == [(1, "d2"), (2, "d1")]
+    assert not os.path.exists(f"{tables.path('t')}/day=d0")
+
+
+@pytest.mark.parametrize("limit", [500, 0])
+def test_partitioned_merge_by_other_key_rewrites_old_and_new_partitions(spark, tables, monkeypatch, limit):
+    schema = "k int, day string, v string"
+    rows = [(1, "d1", "a"), (2, "d1", "a"), (3, "d2", "a"), (4, "d3", "a")]
+    tables.merge("t", spark.createDataFrame(rows, schema), ["k"], ["day"])
+    folder = tables.path("t")
+    untouched = sorted(os.listdir(f"{folder}/day=d3"))
+    tables.merge("t", spark.createDataFrame([(1, "d2", "moved"), (5, "d4", "new")], schema), ["k"])
+    assert tables.path("t") == folder and sorted(os.listdir(f"{folder}/day=d3")) == untouched
+    monkeypatch.setattr("contractflow.sinks.tables.MAX_PARTITION_LITERALS", limit)
+    for v in ("null", "null again"):
+        tables.merge("t", spark.createDataFrame([(6, None, v), (7, None, "stays")], schema).filter(
+            F.col("k") == (6 if v == "null again" else F.col("k"))), ["k"])
+    assert tables.path("t") == folder
+    assert _rows(tables.read("t").select("k", "day", "v").filter("day IS NULL")) == [
+        (6, None, "null again"), (7, None, "stays")]
+    assert _rows(tables.read("t").select("k", "day", "v").filter("day IS NOT NULL")) == [
+        (1, "d2", "moved"), (2, "d1", "a"), (3, "d2", "a"), (4, "d3", "a"), (5, "d4", "new")]
 
 
 def test_compaction_clusters_and_keeps_rows(spark, tables):
