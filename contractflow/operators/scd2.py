@@ -25,7 +25,10 @@ _NOW, _PERIOD = "_now", "_period"
 
 def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[str], period: str) -> DataFrame:
     """Rows at which a tracked column differs from the row before, with ``_version`` and ``_next``."""
-    rows = df.withColumn(_PERIOD, F.date_trunc(period, F.col(ts))).withColumn(_NOW, F.struct(*track))
+    # Never NULL: then no filter on it is derived in one branch only, both branches start
+    # from the same exchange, and the source is read and sorted once.
+    start_of_period = F.coalesce(F.date_trunc(period, F.col(ts)), F.lit(ORIGIN).cast("timestamp"))
+    rows = df.withColumn(_PERIOD, start_of_period).withColumn(_NOW, F.struct(*track))
     group = [*keys, _PERIOD]
     in_period = Window.partitionBy(*group).orderBy(ts)
     marked = (
