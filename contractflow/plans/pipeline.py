@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..operators import dedup, privacy, quality, schema, scd2
+from ..operators.merge import reprocess_slice
 from ..session import apply_settings, scratch_path
 from ..sinks.runlog import RUN_LOG_TABLE, append_run, high_watermark, new_run_id
 from ..sinks.tables import Tables
@@ -135,13 +136,14 @@ def materialize(contract: Contract, tables: Tables, good: DataFrame) -> None:
 def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                  inputs: Mapping[str, DataFrame] | None = None, *, landing_root: str | None = None,
                  run_id: str | None = None, salt: str = "", dry_run: bool = False, once: bool = False,
-                 fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False,
+                 reprocess: Mapping | None = None, fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False,
                  now: datetime | None = None) -> RunResult:
     """Execute a contract.
 
     The checked rows are written once to the shared scratch folder, split into good
     and bad. That is the only pass over the source: both outputs and all counts come
-    from it, and a lost executor costs at most the tasks it ran.
+    from it, and a lost executor costs at most the tasks it ran. ``reprocess`` limits the
+    source to a slice, as the arguments of ``reprocess_slice``.
     """
     apply_settings(spark)
     run_id = run_id or new_run_id()
@@ -149,6 +151,8 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
         return RunResult(contract.name, contract.layer, "skipped")
     started = now or datetime.now(timezone.utc)
     inputs = inputs or resolve_inputs(spark, contract, tables, landing_root)
+    if reprocess:
+        inputs = {**inputs, "source": reprocess_slice(inputs["source"], **reprocess)}
     seen, checked = Observation(), Observation()
     plan = compile_contract(contract, inputs, observation=seen)
     from_files = SOURCE_FILE in plan.columns

@@ -8,6 +8,7 @@ from ..contract import Contract, Field, Rule
 from ..operators import joins
 from ..operators.schema import to_text
 from ..plans.pipeline import compile_contract, good_and_bad, stamp
+from ..plans.steps import sql_step
 from . import inputs as I
 from .products import _health, _HEALTH_RULES, _HEALTH_SQL
 from ..operators.quality import annotate, rule_check, split
@@ -88,6 +89,27 @@ def bronze_recipe(lake: Lake):
     return stamp(good, _RAW_EVENTS, "run-1", F.lit("2024-02-01").cast("timestamp"), source=F.lit("events"))
 
 
+_DAILY = Contract(
+    "gold_daily_orders", "gold", "marketplace",
+    (Field("day", "date", required=True), Field("status"), Field("orders", "long"), Field("share", "float")),
+    primary_key=("day", "status"), unknown_fields="drop",
+    transform=sql_step(
+        "SELECT to_date(o_orderdate) AS day, o_orderstatus AS status, count(*) AS orders FROM source GROUP BY 1, 2",
+        """SELECT s.*, s.orders / CAST(d.orders AS DOUBLE) AS share, 'x' AS dropped FROM source s
+           JOIN (SELECT to_date(l_shipdate) AS day, count(*) AS orders FROM shipped GROUP BY 1) d ON s.day = d.day"""),
+)
+
+
+@query("sql_steps", """
+    SELECT s.day, status, s.orders, s.orders / CAST(d.orders AS DOUBLE) AS share
+    FROM (SELECT CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status, COUNT(*) AS orders FROM orders GROUP BY 1, 2) s
+    JOIN (SELECT CAST(l_shipdate AS DATE) AS day, COUNT(*) AS orders FROM lineitem GROUP BY 1) d ON s.day = d.day
+""")
+def sql_steps(lake: Lake):
+    """SQL text over the source and a link, then enforcement of the declared columns."""
+    return good_and_bad(_DAILY, {"source": lake("orders"), "shipped": lake("lineitem")})[0]
+
+
 @query("marketplace_health_quarantine", _HEALTH_SQL + """
     SELECT kpi_date, city_code, requested_trips, cancelled_trips FROM health WHERE completed_trips > 2 * cancelled_trips
 """)

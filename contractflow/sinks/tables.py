@@ -63,6 +63,9 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}/{self._known(name)['version']}"
 
+    def partition_columns(self, name: str) -> list[str]:
+        return self._known(name)["partition_by"]
+
     # -- reads ---------------------------------------------------------------
 
     def exists(self, name: str) -> bool:

@@ -47,3 +47,11 @@ def start_contract_stream(tables: Tables, contract: Contract, source: DataFrame,
         contract_batches(tables, contract, on_error=on_error)
     )
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
+
+
+def run_until(query: StreamingQuery, seconds: float) -> bool:
+    """Let a query run until a deadline, then stop it. True if it ended by itself."""
+    ended = query.awaitTermination(seconds)
+    if not ended:
+        query.stop()
+    return bool(ended)
