@@ -95,6 +95,7 @@ class Contract:
     drop: tuple[str, ...] = ()
     dedup_by: tuple[str, ...] = ()
     latest_by: str | None = None
+    dedup_before_rules: bool = False
     rules: tuple[Rule, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
     strategy: str = "overwrite"  # append | merge | overwrite | scd2

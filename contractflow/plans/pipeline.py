@@ -1,4 +1,4 @@
-"""Run one contract: read, shape, enforce, deduplicate, check, split, mask, stamp, write."""
+"""Run one contract: read, shape, enforce, check, deduplicate, split, mask, stamp, write."""
 
 from __future__ import annotations
 
@@ -66,12 +66,19 @@ def compile_contract(contract: Contract, inputs: Mapping[str, DataFrame], *,
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     carry = [c for c in _HELPERS if c in df.columns and c not in declared]
     conformed, checks = schema.conform(df, contract, carry)
-    if contract.dedup_by:
-        if contract.latest_by:
-            conformed = dedup.deduplicate_by_latest(conformed, contract.dedup_by, contract.latest_by)
-        else:
-            conformed = dedup.deduplicate(conformed, contract.dedup_by)
-    return quality.annotate(conformed, [*checks, *[quality.rule_check(r) for r in contract.rules]])
+    checks += [quality.rule_check(r) for r in contract.rules]
+    if contract.dedup_before_rules:
+        return quality.annotate(_deduplicated(conformed, contract), checks)
+    # Bad rows all go to quarantine, so that a bad copy never displaces a good one.
+    return _deduplicated(quality.annotate(conformed, checks), contract, keep=F.size(quality.ERRORS) > 0)
+
+
+def _deduplicated(df: DataFrame, contract: Contract, keep: Column | None = None) -> DataFrame:
+    if not contract.dedup_by:
+        return df
+    if contract.latest_by:
+        return dedup.deduplicate_by_latest(df, contract.dedup_by, contract.latest_by, keep=keep)
+    return dedup.deduplicate(df, contract.dedup_by, keep=keep)
 
 
 def good_and_bad(contract: Contract, inputs: Mapping[str, DataFrame], salt: str = "") -> tuple[DataFrame, DataFrame]:

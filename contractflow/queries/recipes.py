@@ -34,7 +34,9 @@ _DOUBLED_SQL = """
         UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 1 DAY, '3-LATER'
         FROM orders WHERE o_orderstatus = 'P'
     ),
-    one AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1)
+    one AS (SELECT * FROM raw WHERE o_totalprice BETWEEN 2000 AND 450000 AND o_orderpriority NOT LIKE '5%'
+            QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1),
+    unchecked AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1)
 """
 
 
@@ -51,18 +53,28 @@ def _raw_orders(lake: Lake):
 @query("silver_recipe", _DOUBLED_SQL + """
     SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR)) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
            '***REDACTED***' AS o_orderpriority
-    FROM one WHERE o_totalprice BETWEEN 2000 AND 450000 AND o_orderpriority NOT LIKE '5%'
+    FROM one
 """)
 def silver_recipe(lake: Lake):
-    """Cast, keep the latest, check, split and mask: the good rows."""
+    """Cast, check, keep the latest good row, split and mask: the good rows."""
     return good_and_bad(_ORDERS, {"source": _raw_orders(lake)})[0]
 
 
+@query("silver_recipe_dedup_first", _DOUBLED_SQL + """
+    SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR)) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+           '***REDACTED***' AS o_orderpriority
+    FROM unchecked WHERE o_totalprice BETWEEN 2000 AND 450000 AND o_orderpriority NOT LIKE '5%'
+""")
+def silver_recipe_dedup_first(lake: Lake):
+    """The other order: keep the latest row, then check it."""
+    return good_and_bad(_ORDERS.with_(dedup_before_rules=True), {"source": _raw_orders(lake)})[0]
+
+
 @query("silver_recipe_quarantine", _DOUBLED_SQL + """
     SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR)) AS o_custkey, '***REDACTED***' AS o_orderpriority,
            concat_ws(',', CASE WHEN o_totalprice NOT BETWEEN 2000 AND 450000 THEN 'price_range:range' END,
                      CASE WHEN o_orderpriority LIKE '5%' THEN 'not_low:pattern' END) AS failed
-    FROM one WHERE o_totalprice NOT BETWEEN 2000 AND 450000 OR o_orderpriority LIKE '5%'
+    FROM raw WHERE o_totalprice NOT BETWEEN 2000 AND 450000 OR o_orderpriority LIKE '5%'
 """)
 def silver_recipe_quarantine(lake: Lake):
     bad = good_and_bad(_ORDERS, {"source": _raw_orders(lake)})[1]

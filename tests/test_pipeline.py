@@ -72,6 +72,17 @@ def test_trip_edge_cases(spark, tables, tmp_path):
     assert (log["counts_source"], log["counts_total"], log["counts_good"], log["counts_quarantined"]) == (36, 30, 24, 6)
 
 
+def test_bad_copies_never_displace_good_ones(spark, tables):
+    """Sixty copies of one id and a broken first one; rows without an id all reach quarantine."""
+    rows = [_trip(0, trip_id="t1", fare_amount="-15.50")] + [_trip(i, trip_id="t1") for i in range(1, 61)]
+    rows += [_trip(i, trip_id=None) for i in range(3)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in rows[0]))
+    result = run_contract(spark, CONTRACTS["silver_trips"], tables, {"source": df})
+    assert (result.good, result.quarantined) == (1, 4)
+    first = CONTRACTS["silver_trips"].with_(name="silver_first", dedup_before_rules=True)
+    assert run_contract(spark, first, tables, {"source": df}).quarantined == 2
+
+
 def test_incremental_load_takes_each_file_once(spark, tables, tmp_path):
     root, bronze = str(tmp_path / "landing"), CONTRACTS["bronze_trip_completed"]
     _trips(root, [_trip(1), _trip(2)])
