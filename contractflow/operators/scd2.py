@@ -110,19 +110,23 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], spec: S
                origin: str = ORIGIN) -> DataFrame:
     """The dimension after a further batch of source rows.
 
-    Closed versions stay as they are. Open versions and the newer incoming rows of
-    the same keys form a short history that is cut anew; a key without change keeps
-    its open version, surrogate key included, so that a re-run changes nothing.
-    Incoming rows that are not newer than the open version are ignored.
+    Closed versions stay as they are, and so do keys without incoming rows. Open
+    versions and the newer incoming rows of the same keys form a short history that is
+    cut anew; a key without change keeps its open version, surrogate key included, so
+    that a re-run changes nothing. Incoming rows that are not newer than the open
+    version are ignored. ``dim`` is read several times, so it should be a stored table.
     """
     known = dim if spec.unknown_member is None else dim.filter(F.col(spec.surrogate_key) != spec.unknown_member)
-    closed = known.filter(~F.col(spec.current_flag))
-    opened = known.filter(spec.current_flag)
     rows, start, attributes = _prepared(incoming, keys, spec, origin)
-    for a in attributes:
-        if a not in opened.columns:  # a column the dimension did not have yet
-            opened = opened.withColumn(a, F.lit(None).cast(incoming.schema[a].dataType))
-            closed = closed.withColumn(a, F.lit(None).cast(incoming.schema[a].dataType))
+    new = [a for a in attributes if a not in known.columns]  # columns the dimension did not have yet
+    known = known.withColumns({a: F.lit(None).cast(incoming.schema[a].dataType) for a in new})
+    # Only open versions of incoming keys are cut anew. All other rows pass through a join
+    # with the distinct incoming keys, which for a small batch shuffles nothing.
+    batch = rows.select(*keys).distinct()
+    opened = known.filter(spec.current_flag).join(batch, list(keys), "left_semi")
+    passing = known.join(batch.withColumn("_hit", F.lit(True)), list(keys), "left").filter(
+        ~F.col(spec.current_flag) | F.col("_hit").isNull()
+    )
     base = F.col(spec.version) - 1 if spec.version else F.lit(0)
     bounds = opened.select(*keys, F.col(spec.effective_from).alias("_open_from"), base.alias("_base"))
     newer = rows.join(bounds, list(keys), "left").filter(
@@ -135,7 +139,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], spec: S
     history = newer.select(*attributes, start, F.coalesce("_base", F.lit(0)).alias("_base")).unionByName(seeds)
     points = _change_points(history, keys, start, spec.track, period)
     rebuilt = _finish(points.withColumn("_version", F.col("_version") + F.col("_base")), keys, spec, attributes, start)
-    return with_unknown_member(closed.select(*rebuilt.columns).unionByName(rebuilt), spec)
+    return with_unknown_member(passing.select(*rebuilt.columns).unionByName(rebuilt), spec)
 
 
 def scd2_snapshot_apply(dim: DataFrame, snapshot: DataFrame, keys: Sequence[str], spec: Scd2, as_of: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Scd2
 from ..operators import asof, merge, privacy, reconcile, scd2
+from ..session import stage
 from . import inputs as I
 from .registry import Lake, query
 
@@ -34,14 +35,15 @@ def scd2_apply(lake: Lake):
     """Two batches applied in turn give the same versions as the whole history."""
     rows = I.rider_history(lake)
     cut = F.lit("1998-01-01").cast("timestamp")
-    first = scd2.scd2_history(rows.filter(F.col("o_orderdate") < cut), ["rider_id"], I.RIDER_DIM)
+    first = stage(scd2.scd2_history(rows.filter(F.col("o_orderdate") < cut), ["rider_id"], I.RIDER_DIM), "dim")
     return scd2.scd2_apply(first, rows.filter(F.col("o_orderdate") >= cut), ["rider_id"], I.RIDER_DIM)
 
 
 @query("scd2_reapply", f"WITH {I.RIDER_DIM_SQL} SELECT {_RIDER_COLUMNS} FROM dim {_UNKNOWN_RIDER}")
 def scd2_reapply(lake: Lake):
     """Applying rows that are already in the dimension changes nothing."""
-    return scd2.scd2_apply(I.rider_dim(lake), I.rider_history(lake), ["rider_id"], I.RIDER_DIM)
+    stored = stage(I.rider_dim(lake), "dim")
+    return scd2.scd2_apply(stored, I.rider_history(lake), ["rider_id"], I.RIDER_DIM)
 
 
 _SEGMENT = Scd2("customer_sk", track=("c_mktsegment",))
@@ -75,8 +77,8 @@ def scd2_unknown_member(lake: Lake):
 """)
 def scd2_snapshot_apply(lake: Lake):
     customers = lake("customer")
-    first = scd2.scd2_history(
-        customers.filter("c_acctbal > 0").select("c_custkey", "c_mktsegment"), ["c_custkey"], _SEGMENT)
+    first = stage(scd2.scd2_history(
+        customers.filter("c_acctbal > 0").select("c_custkey", "c_mktsegment"), ["c_custkey"], _SEGMENT), "dim")
     segment = F.when(F.col("c_acctbal") > 5000, "PREMIUM").otherwise(F.col("c_mktsegment"))
     snapshot = customers.select("c_custkey", segment.alias("c_mktsegment"))
     return scd2.scd2_snapshot_apply(first, snapshot, ["c_custkey"], _SEGMENT, "2024-05-01 00:00:00")

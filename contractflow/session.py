@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. Every one is a plain Spark SQL option.
 RUNTIME_SETTINGS = {
@@ -56,3 +56,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="contractflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, "contractflow", purpose, uuid.uuid4().hex)
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame below the shared scratch folder and read it back.
+
+    Cuts the lineage of a result that several later steps use. The files outlive a
+    lost executor, and like checkpoint files they are left to the platform to expire.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from contractflow.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = build_session("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g",
         "spark.checkpoint.dir": str(folder / "checkpoints"), "spark.sql.warehouse.dir": str(folder / "warehouse"),
     })
     session.sparkContext.setLogLevel("ERROR")
