@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import deduplicate
+from .joins import join_composite
 from .schema import evolve
 
 
@@ -15,12 +16,15 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                  guard: bool = True, evolution: str = "append") -> DataFrame:
     """Target rows whose key is not in the source, plus all source rows.
 
-    ``guard`` makes the source unique per key first, so a key never comes in twice.
+    ``guard`` makes the source unique per key first, so a key never comes in twice. A
+    NULL in a composite key is a value like any other: a group without a city replaces
+    the stored group without a city and does not pile up.
     """
     if guard:
         source = deduplicate(source, keys)
     target, source = evolve(target, source, evolution)
-    return target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(source)
+    kept = join_composite(target, source.select(*keys), keys, "left_anti", null_safe=True)
+    return kept.select(*target.columns).unionByName(source)
 
 
 def changed_keys(source: DataFrame, key: Column, name: str) -> DataFrame:

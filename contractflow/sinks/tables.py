@@ -123,8 +123,9 @@ class Tables:
             else:
                 ids = target.select(*dict.fromkeys([*keys, *parts]))
                 fresh = source.select(*keys).distinct()
-                touched = ids.join(fresh, list(keys), "left_semi").select(*parts).unionByName(incoming).distinct()
-                kept = ids.join(fresh, list(keys), "left_anti").select(*parts).unionByName(incoming).distinct()
+                old = join_composite(ids, fresh, keys, "left_semi", null_safe=True).select(*parts)
+                rest = join_composite(ids, fresh, keys, "left_anti", null_safe=True).select(*parts)
+                touched, kept = old.unionByName(incoming).distinct(), rest.unionByName(incoming).distinct()
                 emptied = join_composite(touched, kept, parts, "left_anti", null_safe=True)
             if emptied is None or emptied.isEmpty():
                 part_rows = self._in_partitions(target, touched, parts)

@@ -45,6 +45,16 @@ def test_merge_upserts_and_repeats_safely(spark, tables):
         assert _rows(tables.read("t")) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+@pytest.mark.parametrize("parts", [[], ["city"], ["note"]])
+def test_a_null_in_the_key_is_replaced_too(spark, tables, parts):
+    schema = "day string, city string, note string, n int"
+    rows = [("d1", None, "a", 1), ("d1", "LON", "a", 1), ("d2", None, "b", 1)]
+    tables.merge("t", spark.createDataFrame(rows, schema), ["day", "city"], parts)
+    for _ in range(2):
+        tables.merge("t", spark.createDataFrame([("d1", None, "a", 2)], schema), ["day", "city"])
+    assert _rows(tables.read("t").select("day", "city", "n")) == [("d1", "LON", 1), ("d1", None, 2), ("d2", None, 1)]
+
+
 def test_partitioned_merge_rewrites_only_touched_partitions(spark, tables):
     schema = "day string, k int, v string"
     tables.merge("t", spark.createDataFrame([("d1", 1, "a"), ("d2", 1, "b")], schema), ["day", "k"], ["day"])
