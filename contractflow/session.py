@@ -21,8 +21,6 @@ RUNTIME_SETTINGS = {
     # too, but adaptive coalescing may merge the partitions of each input differently.
     # An aggregate or window right above then misses rows of the same key.
     "spark.sql.unionOutputPartitioning": "false",
-    # Rewrites of one partition must leave the other partitions alone.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
