@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their queries. Nothing outside this folder imports it."""
 
-from . import decontaminate, packing, rendezvous, simhash  # noqa: F401
+from . import decision_list, decontaminate, packing, rendezvous, simhash  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
