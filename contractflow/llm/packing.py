@@ -11,11 +11,14 @@ an empty table gives no rows. Input columns beside id and text are not read and
 
 from __future__ import annotations
 
+import json
 import math
+import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +29,7 @@ from .base import pieces as small
 from .base import query, read, utf8
 
 #: Token ids of words seen by this worker are kept up to so many words, then forgotten; results do not depend on it.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -39,37 +42,89 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordTokens:
     """Token ids by a tokenizer whose tokens never span ASCII white space, as little-endian 32-bit words in bytes.
 
-    Each white-space separated run is encoded once and remembered.
+    Each white-space separated run is encoded once and remembered. Runs of Latin letters that end in at most one mark,
+    nearly all of a text, are put in lower case here and their parts go to the tokenizer's model; any other run goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.known, self.parts = self.tokenizer.model, {}, {}
+        setup = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in setup["normalizer"]["normalizers"]] if setup["normalizer"] else []
+        #: What :meth:`plain` does by itself; for any other set-up all runs take the long way.
+        self.simple = steps == ["NFC", "Replace", "Lowercase"] and setup["model"]["end_of_word_suffix"] == "</w>"
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in visible]
+        self.letters = {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+    def part(self, text: str) -> bytes:
+        """Ids of letters, or of a mark, in lower case."""
+        found = self.parts.get(text)
+        if found is None:
+            as_bytes = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+            found = array("I", [t.id for t in self.model.tokenize(as_bytes)]).tobytes()
+            self.parts[text] = found
+        return found
+
+    def plain(self, run: bytes) -> bytes | None:
+        """Ids of a run, or nothing if it isn't Latin letters with a mark after them at most."""
+        text = run.decode("utf-8", "replace")
+        if not text.isascii():
+            if max(text) > "\u024f" or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
+                return None
+        text = text.lower()
+        if text.isalpha():
+            return self.part(text)
+        if text[-1] in ".,;:!?" and text[:-1].isalpha():
+            return self.part(text[:-1]) + self.part(text[-1])
+        return None
+
+    def add(self, runs: list[bytes]) -> None:
+        long_way = []
+        for run in runs:
+            found = self.plain(run) if self.simple else None
+            if found is None:
+                long_way.append(run)
+            else:
+                self.known[run] = found
+        if long_way:
+            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in long_way], add_special_tokens=False)
+            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(long_way, encoded))
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
             runs = text.split()
-            new = list(set(runs).difference(self.known))
+            new = set(runs).difference(self.known)
             if new:
                 if len(self.known) + len(new) > CACHE_WORDS:
                     self.known.clear()
-                    new = list(set(runs))
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, found))
+                    self.parts.clear()
+                    new = set(runs)
+                self.add(list(new))
             yield b"".join(map(self.known.__getitem__, runs))
 
 
+_loaded: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """One for each path and Python worker, which serves many tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _loaded:
+        _loaded[path] = WordTokens(path)
+    return _loaded[path]
+
+
 def token_pieces(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str = "text",
                  path: str | None = None, end_id: int = 0) -> DataFrame:
     """One row for each piece of at most ``limit`` tokens of a document: its place there, and the checksum of its ids."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens, end = WordTokens(path or tokenizer_path()), np.array([end_id], dtype="<u4").tobytes()
+        tokens, end = word_tokens(path or tokenizer_path()), array("I", [end_id]).tobytes()
         for batch in small(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(tokens(utf8(batch.column(1)))):
