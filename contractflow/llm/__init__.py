@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their queries. Nothing outside this folder imports it."""
 
-from . import decision_list, decontaminate, entropy_secrets, line_dedup, packing, rendezvous, simhash, toxicity  # noqa: F401
+from . import decision_list, decontaminate, entropy_secrets, line_dedup, mixing_lm, packing, rendezvous, simhash, toxicity  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

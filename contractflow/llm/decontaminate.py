@@ -35,7 +35,7 @@ MASKS = ("110100110101", "101100101101", "111010001011", "110010110011")
 FILTER_BITS = 26
 #: Token hashes kept on both sides of a hit.
 AROUND = 96
-#: Positions of a text hashed at a time.
+#: What a different token costs, in equal ones.
 _MISMATCH = 2
 
 
@@ -62,8 +62,13 @@ def _slots(h: np.ndarray) -> list[np.ndarray]:
     return [(h >> np.uint64(shift)) & mask for shift in (0, 20, 38)]
 
 
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+def passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the filter knows; ``bits`` are its packed bytes."""
+    keep = np.arange(len(h))
+    for k in range(3):
+        slot = _slots(h[keep])[k]
+        keep = keep[(bits[slot >> np.uint64(3)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+    return keep
 
 
 def benchmark_seeds(items: DataFrame, id_col: str, text: str, masks: Sequence[str]) -> DataFrame:
@@ -112,18 +117,11 @@ def neighbourhoods(docs: DataFrame, packed, id_col: str, text: str, masks: Seque
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(packed.value, np.uint8)
 
-        def known(h: np.ndarray) -> np.ndarray:
-            keep = np.arange(len(h))
-            for k in range(3):
-                slot = _slots(h[keep])[k]
-                keep = keep[(bits[slot >> np.uint64(3)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1]
-            return keep
-
         for batch in pieces(batches, 256):
             t = tokenize(pc.utf8_lower(batch.column(1)), SYMBOLS)
             hits, hashes = [], []
             for at, h in seeds(t.hashes, t.first, masks, whole):
-                keep = known(h)
+                keep = passes(h, bits)
                 hits.append(at[keep])
                 hashes.append(h[keep])
             at, h = np.concatenate(hits), np.concatenate(hashes)
