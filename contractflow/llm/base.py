@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +22,25 @@ ARROW_ROWS = 1000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once an application, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="contractflow-")) / "contractflow.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for path in sorted(package.rglob("*.py")):
+                z.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
 def settings(spark: SparkSession) -> SparkSession:
     apply_settings(spark)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
