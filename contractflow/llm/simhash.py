@@ -10,7 +10,8 @@ broadcast. A tree yields one link from each fingerprint to the lowest one that i
 over these links are the components over all pairs.
 
 Cases: null and empty texts have fingerprint zero, linked like any other; repeated rows and equal texts are one fingerprint; a
-null id takes part but is never the name of a component unless there is no other; extra columns are not read.
+null id takes part but is never the name of a component unless there is no other; extra columns are not read by
+:func:`near_duplicates`, and kept by :func:`keep_first`, for which names that start with ``_dup_`` are its own.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -192,15 +193,13 @@ def keep_first(docs: DataFrame, length: int = 3, radius: int = 2, id_col: str =
 
     Rows that repeat id and text collapse to one. Rows that share an id but not a text are kept or dropped together.
     """
-    from pyspark.sql import Window
-
     found = near_duplicates(docs, length, radius, id_col, text)
-    ids = found.groupBy(F.col(id_col).alias("_id")).agg(F.min("component_id").alias("_first"), F.count("*").alias("_rows"))
-    kept = ids.where(F.col("_id").eqNullSafe(F.col("_first").cast(docs.schema[id_col].dataType)))
-    rows = docs.join(kept.select("_id", "_rows"), docs[id_col].eqNullSafe(F.col("_id")))
-    again = Window.partitionBy("_id", F.xxhash64(text)).orderBy("_id")
-    more = rows.where("_rows > 1").withColumn("_nr", F.row_number().over(again)).where("_nr = 1").drop("_nr")
-    return rows.where("_rows = 1").union(more).select(*[docs[c] for c in docs.columns])
+    ids = found.groupBy(F.col(id_col).alias("_dup_id")).agg(F.min("component_id").alias("_dup_first"), F.count("*").alias("_dup_rows"))
+    kept = ids.where(F.col("_dup_id").eqNullSafe(F.col("_dup_first").cast(docs.schema[id_col].dataType)))
+    rows = docs.join(kept.select("_dup_id", "_dup_rows"), docs[id_col].eqNullSafe(F.col("_dup_id")))
+    again = Window.partitionBy("_dup_id", F.xxhash64(text)).orderBy("_dup_id")
+    more = rows.where("_dup_rows > 1").withColumn("_dup_nr", F.row_number().over(again)).where("_dup_nr = 1").drop("_dup_nr")
+    return rows.where("_dup_rows = 1").union(more).drop("_dup_id", "_dup_rows")
 
 
 @query("op10_simhash_bk_tree")
