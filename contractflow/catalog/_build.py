@@ -51,11 +51,11 @@ def silver(name: str, domain: str, spec: str, source: str, *, key: str = "", ded
 def gold(name: str, domain: str, spec: str, source: str | Source, *, key: str, links: Mapping[str, str] | None = None,
          transform: Transform | None = None, rules: Sequence[Rule] = (), unique: Sequence[str] = (), fks=None,
          accepted=None, strategy: str = "merge", scd2: Scd2 | None = None, natural_key: str = "",
-         evolution: str = "append", registered: bool = True, pii=()) -> Contract:
+         evolution: str = "append", registered: bool = True, pii=(), partition_by: Sequence[str] = ()) -> Contract:
     """Data product; its transform builds the declared columns."""
     return Contract(
         name=f"gold_{name}", layer="gold", domain=domain, fields=_fields(spec, pii=pii, fks=fks, accepted=accepted),
         primary_key=tuple(key.split()), natural_key=tuple(natural_key.split()),
         source=source if isinstance(source, Source) else Source("table", source), links=dict(links or {}),
         transform=transform, rules=tuple(rules), unique=tuple(tuple(u.split()) for u in unique), strategy=strategy,
-        scd2=scd2, evolution=evolution, unknown_fields="drop", registered=registered)
+        scd2=scd2, evolution=evolution, unknown_fields="drop", registered=registered, partition_by=tuple(partition_by))

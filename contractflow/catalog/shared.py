@@ -10,14 +10,15 @@ from ._build import gold
 D = "shared"
 
 
-def _driver_360(i):
+def _driver_360(i, salt: str = ""):
     """Stored background checks hold a hashed driver id, so the profiles meet them on its hash."""
     drivers = i["mp_drivers"]
-    ids = drivers.select("driver_id", mask_hash(F.col("driver_id")).alias("_hashed"))
+    ids = drivers.select("driver_id", mask_hash(F.col("driver_id"), salt).alias("_hashed"))
     checks = i["silver_checkr_driver_verifications"].withColumnRenamed("driver_id", "_hashed")
     return marts.driver_360(drivers, checks.join(ids, "_hashed"), i["silver_stripe_payouts"])
 
 
+_driver_360.takes_salt = True
 _NO_DUPLICATES = dict(strategy="overwrite")
 
 GOLD = (

@@ -31,39 +31,23 @@ def changed_keys(source: DataFrame, key: Column, name: str) -> DataFrame:
     return source.select(key.alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
-def restrict_to_changed(df: DataFrame, key: Column, changed: DataFrame, max_literals: int = 0) -> DataFrame:
-    """Rows of ``df`` whose key is among the changed keys (a one-column frame).
-
-    With ``max_literals`` the keys are first counted up to that bound. If they fit,
-    they become an IN list, which the scan can push down and which shuffles nothing.
-    Otherwise, and by default, it is a semi join that Spark plans by size.
-    """
-    name = changed.columns[0]
-    if max_literals:
-        head = changed.limit(max_literals + 1).collect()
-        if len(head) <= max_literals:
-            return df.filter(key.isin([r[0] for r in head]) if head else F.lit(False))
-    probe = "_changed_key"
-    keyed = df.withColumn(probe, key)
-    return keyed.join(changed.withColumnRenamed(name, probe), probe, "left_semi").drop(probe)
+def restrict_to_changed(df: DataFrame, key: Column, changed: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is among the changed keys (a one-column frame): a semi join that Spark plans by size."""
+    name, probe = changed.columns[0], "_changed_key"
+    return df.withColumn(probe, key).join(changed.withColumnRenamed(name, probe), probe, "left_semi").drop(probe)
 
 
-def restrict_to_days(df: DataFrame, timestamp: str, changed_days: DataFrame, max_days: int = 5000) -> DataFrame:
+def restrict_to_days(df: DataFrame, timestamp: str, changed_days: DataFrame) -> DataFrame:
     """Rows on the given days (a one-column date frame).
 
-    The days are counted up to ``max_days``. If they fit, the outer bounds are put on
-    the raw timestamp, where Parquet statistics and partitions can skip data, and the
-    exact days become an IN list. Beyond that it is a semi join on the day.
+    The first and last day are subqueries that run before the scan and reach it as bounds on the raw timestamp, where
+    Parquet statistics and partitions can skip data; the exact days are a semi join. Nothing runs while the plan is built.
     """
-    day = F.to_date(timestamp)
-    head = [r[0] for r in changed_days.limit(max_days + 1).collect() if r[0] is not None]
-    if len(head) > max_days:
-        return restrict_to_changed(df, day, changed_days)
-    if not head:
-        return df.filter(F.lit(False))
-    low, high = min(head), max(head)
-    bounded = df.filter((F.col(timestamp) >= F.lit(low)) & (F.col(timestamp) < F.date_add(F.lit(high), 1)))
-    return bounded.filter(day.isin(head))
+    name = changed_days.columns[0]
+    low = changed_days.agg(F.min(name).cast("timestamp")).scalar()
+    high = changed_days.agg(F.date_add(F.max(name), 1).cast("timestamp")).scalar()
+    bounded = df.filter((F.col(timestamp) >= low) & (F.col(timestamp) < high))
+    return restrict_to_changed(bounded, F.to_date(timestamp), changed_days)
 
 
 def reprocess_slice(df: DataFrame, column: str, *, start=None, end=None, values: Sequence | None = None) -> DataFrame:

@@ -17,12 +17,10 @@ DOMAIN_ERASURE = {
     "payments": "hash",
     "marketing": "redact",
     "shared": "rebuild",
+    "reference": "not applicable",
 }
 LAYER_RETENTION = {"bronze": "P7D", "silver": "P90D", "gold": "P7Y"}
 
-# Identifiers up to this number become an IN list that the scan can use; more are joined.
-MAX_LITERAL_IDS = 1000
-
 
 def apply_masks(df: DataFrame, contract: Contract, salt: str = "") -> DataFrame:
     """Hash or redact the columns that the contract marks."""
@@ -44,15 +42,16 @@ def _erased(c: str, data_type, strategy: str, salt: str) -> Column:
 
 
 def erase(df: DataFrame, id_column: str, ids: Sequence | DataFrame, pii: Sequence[str], *,
-          strategy: str = "nullify", salt: str = "", partition_filter: Column | None = None) -> DataFrame:
+          strategy: str = "nullify", salt: str = "", partition_filter: Column | None = None,
+          salts: Sequence[str] | None = None) -> DataFrame:
     """The table with the personal data of the given subjects removed.
 
     ``ids`` is a list or a frame with ``id_column``. ``partition_filter`` limits
-    which rows may change; the others are returned as they are.
+    which rows may change; the others are returned as they are. ``salts``: see :func:`mark_subjects`.
     """
     if strategy not in ("nullify", "hash", "redact"):
         raise ValueError(f"unknown erasure strategy {strategy!r}")
-    marked = mark_subjects(df, id_column, ids)
+    marked = mark_subjects(df, id_column, ids, salts)
     hit = F.col("_subject") if partition_filter is None else F.col("_subject") & F.coalesce(partition_filter, F.lit(False))
     out = [
         F.when(hit, _erased(c, df.schema[c].dataType, strategy, salt)).otherwise(F.col(c)).alias(c)
@@ -62,20 +61,21 @@ def erase(df: DataFrame, id_column: str, ids: Sequence | DataFrame, pii: Sequenc
     return marked.select(*out)
 
 
-def mark_subjects(df: DataFrame, id_column: str, ids: Sequence | DataFrame) -> DataFrame:
-    """``df`` with ``_subject``: whether the row belongs to one of the ids."""
+def mark_subjects(df: DataFrame, id_column: str, ids: Sequence | DataFrame, salts: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with ``_subject``: whether the row belongs to one of the ids.
+
+    Ids are compared as text, so that an id given as text meets a numeric column. Where the column holds hashes, ``salts``
+    names all salts they were made with, and the hashes of the ids are compared.
+    """
     if not isinstance(ids, DataFrame):
-        ids = list(ids)
-        if len(ids) <= MAX_LITERAL_IDS:
-            member = F.col(id_column).isin(ids) if ids else F.lit(False)
-            return df.withColumn("_subject", F.coalesce(member, F.lit(False)))
-        key_type = df.schema[id_column].dataType.simpleString()
-        ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"{id_column} {key_type}")
+        ids = df.sparkSession.createDataFrame([(None if i is None else str(i),) for i in ids], f"`{id_column}` string")
+    own = F.col(id_column).cast("string")
+    keys = [own] if salts is None else [mask_hash(own, salt) for salt in salts]
     # Distinct ids against an arbitrary number of rows: Spark picks the join by size,
     # and adaptive execution splits a subject that owns very many rows.
-    known = ids.select(F.col(id_column).alias("_id")).distinct().withColumn("_hit", F.lit(True))
+    known = ids.select(F.explode(F.array(*keys)).alias("_id")).filter("_id IS NOT NULL").distinct().withColumn("_hit", F.lit(True))
     return (
-        df.join(known, F.col(id_column) == F.col("_id"), "left")
+        df.join(known, F.col(id_column).cast("string") == F.col("_id"), "left")
         .withColumn("_subject", F.col("_hit").isNotNull())
         .drop("_id", "_hit")
     )

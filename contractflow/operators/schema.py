@@ -46,13 +46,15 @@ def cast_field(c: Column, field: Field) -> Column:
     return c.try_cast(field.spark_type)
 
 
-def conform(df: DataFrame, contract: Contract, carry: Sequence[str] = ()) -> tuple[DataFrame, list[Check]]:
+def conform(df: DataFrame, contract: Contract, carry: Sequence[str] = (), *,
+            cast_checks: bool = False) -> tuple[DataFrame, list[Check]]:
     """The declared projection of ``df`` plus the checks that enforcement adds.
 
     * A declared column that is absent becomes NULL under ``append`` evolution and
       fails every row under ``strict``.
     * Undeclared columns are kept, dropped, or sent to quarantine where filled.
-    * Values that cannot be cast become NULL; their raw text is kept in ``_uncast``.
+    * Values that cannot be cast become NULL; their raw text is kept in ``_uncast``. With ``cast_checks`` such a row
+      fails, so that it reaches quarantine with that text.
     * ``carry`` names helper columns that pass through and are not judged.
     """
     present = set(df.columns)
@@ -91,6 +93,11 @@ def conform(df: DataFrame, contract: Contract, carry: Sequence[str] = ()) -> tup
         any_failed = reduce(Column.__or__, [bad for _, _, bad in failed])
         raw_values = F.struct(*[F.when(bad, raw.cast("string")).alias(name) for name, raw, bad in failed])
         columns.append(F.when(any_failed, F.to_json(raw_values)).alias(UNCAST))
+        if cast_checks:
+            uncast = F.get_json_object(UNCAST, "$")
+            for name, _, _ in failed:
+                fine = uncast.isNull() | F.get_json_object(UNCAST, f"$['{name}']").isNull()
+                checks.append(Check(f"type:{name}", "schema", fine))
     return df.select(*columns), checks
 
 
@@ -114,10 +121,11 @@ def schema_report(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def evolve(target: DataFrame, incoming: DataFrame, evolution: str) -> tuple[DataFrame, DataFrame]:
-    """Both frames with one schema. ``strict`` refuses columns the target lacks."""
+    """Both frames with one schema. ``strict`` refuses columns the target lacks, but for lineage columns (``_name``)."""
     new = [f for f in incoming.schema.fields if f.name not in target.columns]
-    if new and evolution == "strict":
-        raise ValueError(f"strict schema: new columns {[f.name for f in new]}")
+    refused = [f.name for f in new if not f.name.startswith("_")]
+    if refused and evolution == "strict":
+        raise ValueError(f"strict schema: new columns {refused}")
     for f in new:
         target = target.withColumn(f.name, F.lit(None).cast(f.dataType))
     columns = target.columns

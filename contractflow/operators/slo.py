@@ -138,18 +138,17 @@ def quality_gate(runs: DataFrame, slo: QualitySlo, severity: str | None = "sever
 def schedule(runs: DataFrame, slo: ScheduleSlo) -> DataFrame:
     """Whether runs started, ended and took as long as planned."""
 
-    def minute_of_day(c: str) -> Column:
-        return F.hour(c) * 60 + F.minute(c)
-
-    def planned(text: str) -> int:
-        hours, minutes = text.split(":")
-        return int(hours) * 60 + int(minutes)
+    def planned(text: str, after: str | None = None) -> Column:
+        """That time on the day of the start; on the next day where it would lie before ``after``."""
+        hours, minutes = (int(x) for x in text.split(":"))
+        next_day = after is not None and text < after
+        return F.date_trunc("day", "start_time") + F.make_dt_interval(F.lit(int(next_day)), F.lit(hours), F.lit(minutes))
 
     taken = (F.unix_micros("end_time") - F.unix_micros("start_time")) / 60_000_000.0
     return (
         runs.withColumn("duration_minutes", taken)
-        .withColumn("started_late", minute_of_day("start_time") > planned(slo.expected_start))
-        .withColumn("finished_late", minute_of_day("end_time") > planned(slo.expected_completion))
+        .withColumn("started_late", F.date_trunc("minute", "start_time") > planned(slo.expected_start))
+        .withColumn("finished_late", F.date_trunc("minute", "end_time") > planned(slo.expected_completion, slo.expected_start))
         .withColumn("over_expected", F.col("duration_minutes") > slo.expected_minutes)
         .withColumn("over_warning", F.col("duration_minutes") > slo.warn_minutes)
     )

@@ -11,40 +11,48 @@ from pyspark.sql import functions as F
 from ..catalog.policies import RETENTION
 from ..contract import Contract
 from ..operators import privacy, reconcile
+from ..operators.schema import UNCAST, UNKNOWN
 from ..sinks.tables import Tables
 
 
 def erase_subjects(tables: Tables, contracts: Iterable[Contract], id_column: str, ids: Sequence | DataFrame, *,
                    strategy: str | None = None, salt: str = "", dry_run: bool = False,
-                   partition: tuple[str, str] | None = None) -> list[dict]:
-    """Erase subjects from every stored table that holds ``id_column``.
+                   partition: tuple[str, str] | None = None, old_salts: Sequence[str] = ()) -> list[dict]:
+    """Erase subjects from every stored table that holds ``id_column``, and from its quarantine.
 
-    Without a strategy each domain uses its own; a domain that rebuilds its tables from
-    the others is only reported. ``partition`` limits the change to one partition value,
-    and then only that partition is rewritten.
+    Without a strategy each domain uses its own; a domain that rebuilds its tables from the others, or has no subjects, is
+    only reported. Where a contract hashes the id, hashes under ``salt`` and ``old_salts`` are compared. Of a subject's
+    quarantined rows the raw texts of failed casts and unknown fields go too. ``partition`` limits the change to one
+    partition value, and then only that partition is rewritten.
     """
     report = []
     for contract in contracts:
-        if not tables.exists(contract.name):
-            continue
-        df = tables.read(contract.name)
-        if id_column not in df.columns:
-            continue
-        if partition and partition[0] in df.columns:
-            df = df.filter(F.col(partition[0]) == partition[1])
-        hits = privacy.mark_subjects(df.select(id_column), id_column, ids).filter("_subject").count()
-        how = strategy or privacy.erasure_strategy(contract.domain)
-        applied = bool(hits) and not dry_run and how != "rebuild"
-        if applied:
-            pii = [c for c in contract.pii_fields if c in df.columns]
-            if partition and partition[0] in tables.partition_columns(contract.name):
-                tables.overwrite_partitions(contract.name, privacy.erase(df, id_column, ids, pii, strategy=how, salt=salt))
-            else:
-                limit = F.col(partition[0]) == partition[1] if partition and partition[0] in df.columns else None
-                whole = privacy.erase(tables.read(contract.name), id_column, ids, pii, strategy=how, salt=salt,
-                                      partition_filter=limit)
-                tables.replace(contract.name, whole, tables.partition_columns(contract.name))
-        report.append({"table_name": contract.name, "rows_touched": hits, "strategy": how, "applied": applied})
+        for name in (contract.name, f"quarantine_{contract.name}"):
+            if not tables.exists(name):
+                continue
+            whole = df = tables.read(name)
+            if id_column not in df.columns:
+                continue
+            hashed = id_column in contract.field_names and contract.field(id_column).mask == "hash"
+            salts = list(dict.fromkeys(["", salt, *old_salts])) if hashed else None
+            limited = partition and partition[0] in df.columns
+            if limited:
+                df = df.filter(F.col(partition[0]) == partition[1])
+            hits = privacy.mark_subjects(df.select(id_column), id_column, ids, salts).filter("_subject").count()
+            how = strategy or privacy.erasure_strategy(contract.domain)
+            applied = bool(hits) and not dry_run and how not in ("rebuild", "not applicable")
+            if applied:
+                helpers = [c for c in (UNCAST, UNKNOWN) if c in whole.columns]
+                pii = [c for c in contract.pii_fields if c in whole.columns]
+                parts = tables.partition_columns(name)
+                inside = limited and partition[0] in parts
+                limit = F.col(partition[0]) == partition[1] if limited and not inside else None
+                out = privacy.erase(df if inside else whole, id_column, ids, [*pii, *helpers], strategy=how, salt=salt, partition_filter=limit, salts=salts)
+                if inside:
+                    tables.overwrite_partitions(name, out)
+                else:
+                    tables.replace(name, out, parts)
+            report.append({"table_name": name, "rows_touched": hits, "strategy": how, "applied": applied})
     return report
 
 

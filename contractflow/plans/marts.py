@@ -128,7 +128,10 @@ def acquisition_cost(google: DataFrame, meta: DataFrame, email: DataFrame, *, sc
                              F.col("impressions").try_cast("int"), F.col("clicks").try_cast("int")))
         .unionByName(channel(email, EMAIL, "sent_at", F.lit(0.0), F.lit(1), opened))
     )
-    return rows.groupBy("kpi_date", "channel", "campaign_id").agg(
+    # Added up by name first: that is a hash aggregate. A maximum of text would sort every input row.
+    named = rows.groupBy("kpi_date", "channel", "campaign_id", "campaign_name").agg(
+        total(F.col("spend"), scale).alias("spend"), F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"))
+    return named.groupBy("kpi_date", "channel", "campaign_id").agg(
         F.max("campaign_name").alias("campaign_name"),
         total(F.col("spend"), scale).alias("spend_amount"),
         F.sum("impressions").cast("int").alias("impressions"),

@@ -8,12 +8,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import Contract
 from ..operators import dedup, privacy, quality, schema, scd2
 from ..operators.merge import reprocess_slice
 from ..session import apply_settings, scratch_path
-from ..sinks.runlog import RUN_LOG_TABLE, append_run, high_watermark, new_run_id
+from ..sinks.runlog import RUN_LOG_TABLE, append_run, broken_runs, mark_run, new_run_id, take_files, taken_files
 from ..sinks.tables import Tables
 from ..sources.documents import extract_fields, read_documents
 from ..sources.landing import SOURCE_FILE, SOURCE_MTIME, read_incremental, read_landing
@@ -50,22 +51,30 @@ def stamp(df: DataFrame, contract: Contract, run_id: str, now: Column, *, source
     return df.withColumns(columns)
 
 
-def shape(contract: Contract, inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """The contract's transform over ``source`` and its links, else the source itself."""
-    df = contract.transform(inputs) if contract.transform else inputs["source"]
+def shape(contract: Contract, inputs: Mapping[str, DataFrame], salt: str = "") -> DataFrame:
+    """The contract's transform over ``source`` and its links, else the source itself.
+
+    A transform that compares hashed columns says so by an attribute ``takes_salt`` and is given the salt.
+    """
+    if contract.transform is None:
+        df = inputs["source"]
+    elif getattr(contract.transform, "takes_salt", False):
+        df = contract.transform(inputs, salt=salt)
+    else:
+        df = contract.transform(inputs)
     return df.drop(*contract.drop) if contract.drop else df
 
 
 def compile_contract(contract: Contract, inputs: Mapping[str, DataFrame], *,
-                     observation: Observation | None = None) -> DataFrame:
+                     observation: Observation | None = None, cast_checks: bool = False, salt: str = "") -> DataFrame:
     """One lazy plan up to and including ``_errors``. Nothing is executed."""
-    df = shape(contract, inputs)
+    if observation is not None and not contract.transform:
+        inputs = {**inputs, "source": inputs["source"].observe(observation, F.count(F.lit(1)).alias("rows"))}
+    df = shape(contract, inputs, salt)
     declared = set(contract.field_names)
-    df = df.drop(*[c for c in STAMPS if c not in declared])  # each layer sets its own stamps
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    df = df.drop(*[c for c in (*STAMPS, schema.UNCAST) if c not in declared])  # each layer sets its own
     carry = [c for c in _HELPERS if c in df.columns and c not in declared]
-    conformed, checks = schema.conform(df, contract, carry)
+    conformed, checks = schema.conform(df, contract, carry, cast_checks=cast_checks)
     checks += [quality.rule_check(r) for r in contract.rules]
     if contract.dedup_before_rules:
         return quality.annotate(_deduplicated(conformed, contract), checks)
@@ -83,14 +92,17 @@ def _deduplicated(df: DataFrame, contract: Contract, keep: Column | None = None)
 
 def good_and_bad(contract: Contract, inputs: Mapping[str, DataFrame], salt: str = "") -> tuple[DataFrame, DataFrame]:
     """Lazy good rows (masked, declared columns) and bad rows (masked, with errors)."""
-    good, bad = quality.split(compile_contract(contract, inputs))
+    good, bad = quality.split(compile_contract(contract, inputs, salt=salt))
     drop = (schema.UNCAST, schema.UNKNOWN, *_HELPERS)
     return privacy.apply_masks(good.drop(*drop), contract, salt), privacy.apply_masks(bad, contract, salt)
 
 
 def resolve_inputs(spark: SparkSession, contract: Contract, tables: Tables,
                    landing_root: str | None = None) -> dict[str, DataFrame]:
-    """The source and the links of a contract from stored tables or landing files."""
+    """The source and the links of a contract from stored tables or landing files.
+
+    An incremental source also gives ``_files``, the files that it reads.
+    """
     source = contract.source
     if source.format == "table":
         inputs = {"source": tables.read(source.path)}
@@ -99,7 +111,8 @@ def resolve_inputs(spark: SparkSession, contract: Contract, tables: Tables,
         if source.format == "text":
             inputs = {"source": extract_fields(read_documents(spark, path), contract)}
         elif source.load_mode == "incremental":
-            inputs = {"source": read_incremental(spark, contract, path, high_watermark(spark, tables, contract.name))}
+            rows, files = read_incremental(spark, contract, path, taken_files(tables, contract.name))
+            inputs = {"source": rows, "_files": files}
         else:
             inputs = {"source": read_landing(spark, contract, path)}
     for name, table in contract.links.items():
@@ -116,8 +129,8 @@ def _already_done(tables: Tables, contract: Contract, run_id: str) -> bool:
     return not seen.isEmpty()
 
 
-def materialize(contract: Contract, tables: Tables, good: DataFrame) -> None:
-    """Write good rows by the strategy of the contract."""
+def materialize(contract: Contract, tables: Tables, good: DataFrame, now: datetime | None = None) -> None:
+    """Write good rows by the strategy of the contract; ``now`` is when a snapshot was taken."""
     if contract.strategy == "append":
         tables.append(contract.name, good, contract.partition_by)
     elif contract.strategy == "merge":
@@ -126,12 +139,12 @@ def materialize(contract: Contract, tables: Tables, good: DataFrame) -> None:
         tables.merge(contract.name, good, contract.primary_key, contract.partition_by, contract.evolution)
     elif contract.strategy == "scd2":
         keys, spec = list(contract.primary_key), contract.scd2
-        if not tables.exists(contract.name):
+        if not tables.exists(contract.name) or tables.read(contract.name).isEmpty():
             dim = scd2.scd2_history(good, keys, spec)
         elif spec.timestamp:
             dim = scd2.scd2_apply(tables.read(contract.name), good, keys, spec)
         else:
-            today = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+            today = (now or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
             dim = scd2.scd2_snapshot_apply(tables.read(contract.name), good, keys, spec, today)
         tables.replace(contract.name, dim, contract.partition_by)
     elif contract.strategy == "overwrite":
@@ -143,7 +156,7 @@ def materialize(contract: Contract, tables: Tables, good: DataFrame) -> None:
 def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                  inputs: Mapping[str, DataFrame] | None = None, *, landing_root: str | None = None,
                  run_id: str | None = None, salt: str = "", dry_run: bool = False, once: bool = False,
-                 reprocess: Mapping | None = None, fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False,
+                 reprocess: Mapping | None = None, fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False, fail_on_cast: bool = False,
                  now: datetime | None = None) -> RunResult:
     """Execute a contract.
 
@@ -151,59 +164,92 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     and bad. That is the only pass over the source: both outputs and all counts come
     from it, and a lost executor costs at most the tasks it ran. ``reprocess`` limits the
     source to a slice, as the arguments of ``reprocess_slice``.
+
+    Text that does not fit its declared type becomes NULL. It is kept, as JSON by column, in ``_uncast`` of the stored
+    row, and such rows are counted as ``uncast``; with ``fail_on_cast`` they are bad rows.
+
+    Whether a run fails for its bad rows is known before anything is stored: a failed run adds to quarantine only.
+    A run that breaks off while it writes is logged as failed, and the next run of the contract, or the same one again, first
+    removes the rows it left, by their run id. Landing files count as taken only once a run has succeeded.
     """
     apply_settings(spark)
+    given = run_id is not None
     run_id = run_id or new_run_id()
     if once and _already_done(tables, contract, run_id):
         return RunResult(contract.name, contract.layer, "skipped")
     started = now or datetime.now(timezone.utc)
-    inputs = inputs or resolve_inputs(spark, contract, tables, landing_root)
+    inputs = dict(inputs or resolve_inputs(spark, contract, tables, landing_root))
+    files = inputs.pop("_files", None)
     if reprocess:
         inputs = {**inputs, "source": reprocess_slice(inputs["source"], **reprocess)}
     seen, checked = Observation(), Observation()
-    plan = compile_contract(contract, inputs, observation=seen)
+    plan = compile_contract(contract, inputs, observation=seen, cast_checks=fail_on_cast, salt=salt)
     from_files = SOURCE_FILE in plan.columns
     mtime = F.max(F.col(SOURCE_MTIME).cast("double")) if SOURCE_MTIME in plan.columns else F.max(F.lit(None).cast("double"))
     plan = plan.observe(
         checked, F.count(F.lit(1)).alias("total"),
         F.count_if(F.size(quality.ERRORS) == 0).alias("good"), mtime.alias("mtime"),
+        F.count(F.col(schema.UNCAST) if schema.UNCAST in plan.columns else F.lit(None)).alias("uncast"),
     )
     source_column = F.col(SOURCE_FILE) if from_files else None
     plan = stamp(plan, contract, run_id, F.lit(started), source=source_column).drop(*_HELPERS)
     plan = plan.withColumn("_bad", F.size(quality.ERRORS) > 0)
     staged = scratch_path(spark, contract.name)
+    log = dict(
+        run_id=run_id, pipeline_run_id=run_id, contract=contract.name, contract_version="1.0.0", stage="run", dataset=contract.name,
+        domain=contract.domain, data_layer=contract.layer, start_time=started.isoformat(), source_path=contract.source.path)
     try:
         if dry_run:
             plan.write.format("noop").mode("overwrite").save()
         else:
             plan.write.partitionBy("_bad").parquet(staged)
-        counts = {"source": seen.get["rows"], **checked.get}
+        if contract.transform:  # what comes out of a transform says nothing of what went in
+            counts = {"source": inputs["source"].count(), **checked.get}
+        else:
+            counts = {"source": seen.get["rows"], **checked.get}
         good_rows, bad_rows = counts["good"], counts["total"] - counts["good"]
         report = {}
+        refused = bool(fail_on_quarantine and bad_rows)
         if not dry_run:
+            left = broken_runs(tables, contract.name)
+            again = [*left, run_id] if given else left
+            for name in (contract.name, f"quarantine_{contract.name}"):
+                if contract.strategy == "append" or name != contract.name:
+                    tables.forget_runs(name, STAMP_RUN, again)
+            for old in left:
+                mark_run(tables, contract.name, old, "done")
+            mark_run(tables, contract.name, run_id, "begun")
             rows = spark.read.schema(plan.schema).parquet(staged)
-            drop = (quality.ERRORS, schema.UNCAST, schema.UNKNOWN, "_bad")
+            drop = (quality.ERRORS, schema.UNKNOWN, "_bad", *([] if counts["uncast"] else [schema.UNCAST]))
             good = privacy.apply_masks(rows.filter(~F.col("_bad")).drop(*drop), contract, salt)
             if bad_rows:
                 bad = privacy.apply_masks(rows.filter("_bad").drop("_bad"), contract, salt)
                 tables.append(f"quarantine_{contract.name}", bad)
-            materialize(contract, tables, good)
-            for keys in contract.unique:
-                check = quality.unique_report(tables.read(contract.name), keys).first()
-                report[check["rule"]] = check["passed"]
+            if not refused:
+                materialize(contract, tables, good, started)
+                for keys in contract.unique:
+                    check = quality.unique_report(tables.read(contract.name), keys).first()
+                    report[check["rule"]] = check["passed"]
+                if files is not None and not files.isEmpty():
+                    take_files(tables, contract.name, run_id, files)
+            mark_run(tables, contract.name, run_id, "done")
+    except Exception as error:
+        if not dry_run:
+            append_run(tables, **log, status="failed", error_message=f"{type(error).__name__}: {error}"[:2000],
+                       end_time=datetime.now(timezone.utc).isoformat())
+        raise
     finally:
         _remove(spark, staged)
     failed_rules = [k for k, passed in report.items() if not passed]
     status = "success"
-    if (fail_on_quarantine and bad_rows) or (fail_on_dataset_rule and failed_rules):
+    if refused or (fail_on_dataset_rule and failed_rules):
         status = "failed"
     ended = datetime.now(timezone.utc)
     if not dry_run:
         append_run(
-            tables, run_id=run_id, pipeline_run_id=run_id, contract=contract.name, contract_version="1.0.0",
-            stage="run", dataset=contract.name, domain=contract.domain, data_layer=contract.layer, status=status,
-            start_time=started.isoformat(), end_time=ended.isoformat(),
-            run_duration_seconds=(ended - started).total_seconds(), source_path=contract.source.path,
+            tables, **log, status=status, end_time=ended.isoformat(),
+            run_duration_seconds=(ended - started).total_seconds(),
+            error_message=f"{bad_rows} rows failed the checks" if refused else f"broken: {failed_rules}" if status == "failed" else None,
             counts_source=counts["source"], counts_total=counts["total"], counts_good=good_rows,
             counts_quarantined=bad_rows,
             quarantine_ratio=bad_rows / counts["total"] if counts["total"] else 0.0,
@@ -221,20 +267,32 @@ def select_contracts(contracts: Iterable[Contract], *, layers: Iterable[str] | N
                      entities: Iterable[str] | None = None, domains: Iterable[str] | None = None) -> list[Contract]:
     """The registered contracts of a run, bronze before silver before gold."""
     rank = {"bronze": 0, "silver": 1, "gold": 2}
+    wanted = None if entities is None else {e.removeprefix("fact_").removeprefix("dim_") for e in entities}
     chosen = [
         c for c in contracts
         if c.registered
         and (layers is None or c.layer in set(layers))
         and (domains is None or c.domain in set(domains))
-        and (entities is None or any(e in c.name for e in entities))
+        and (entities is None or entity_of(c) in wanted)
     ]
     return sorted(chosen, key=lambda c: rank[c.layer])
 
 
+def entity_of(contract: Contract) -> str:
+    """The name without layer and kind of table: what a run is asked for by."""
+    name = contract.name
+    for prefix in (f"{contract.layer}_", "shared_", "fact_", "dim_"):
+        name = name.removeprefix(prefix)
+    return name
+
+
 def provision(tables: Tables, contracts: Iterable[Contract]) -> None:
-    """Create the declared tables empty, without running anything."""
+    """Create the declared tables empty, with the lineage columns that every run adds."""
+    stamps = [T.StructField(STAMP_SOURCE, T.StringType()), T.StructField(STAMP_TIME, T.TimestampType()),
+              T.StructField(STAMP_RUN, T.StringType()), T.StructField(STAMP_CONTRACT, T.StringType())]
     for c in contracts:
-        tables.create_empty(c.name, c.to_struct_type(), c.partition_by)
+        own = c.to_struct_type().fields
+        tables.create_empty(c.name, T.StructType([*own, *[s for s in stamps if s.name not in {f.name for f in own}]]), c.partition_by)
 
 
 def reset_layers(tables: Tables, contracts: Iterable[Contract], *, reload_only: bool = False) -> None:

@@ -11,9 +11,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +20,6 @@ from ..operators.joins import join_composite
 from ..operators.merge import merge_upsert
 
 _POINTER = "_current"
-MAX_PARTITION_LITERALS = 500
 
 
 class Tables:
@@ -48,11 +46,19 @@ class Tables:
     def _switch(self, name: str, version: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
         fs, pointer = self._fs(f"{self.root}/{name}/{_POINTER}")
         content = {"version": version, "schema": schema.jsonValue(), "partition_by": list(partition_by)}
-        stream = fs.create(pointer, True)
+        # Written beside the pointer and renamed over it: a reader finds the old text or the new one.
+        jvm = self.spark._jvm
+        _, beside = self._fs(f"{self.root}/{name}/{_POINTER}-{uuid.uuid4().hex}")
+        stream = fs.create(beside, True)
         try:
             stream.write(bytearray(json.dumps(content).encode()))
         finally:
             stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), self.spark._jsc.hadoopConfiguration())
+        rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+        options[0] = rename
+        context.rename(beside, pointer, options)
 
     def _known(self, name: str) -> dict:
         current = self._current(name)
@@ -134,16 +140,8 @@ class Tables:
         self.replace(name, merge_upsert(target, source, keys, evolution=evolution), parts)
 
     def _in_partitions(self, df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
-        """Rows of the given partitions, NULL partitions included.
-
-        Up to ``MAX_PARTITION_LITERALS`` partitions become a static partition filter, so
-        the others are not even listed; more are joined.
-        """
-        values = touched.limit(MAX_PARTITION_LITERALS + 1).collect()
-        if len(values) > MAX_PARTITION_LITERALS:
-            return join_composite(df, touched, parts, "left_semi", null_safe=True)
-        wanted = [reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v[p])) for p in parts]) for v in values]
-        return df.filter(reduce(Column.__or__, wanted) if wanted else F.lit(False))
+        """Rows of the given partitions, NULL partitions included."""
+        return join_composite(df, touched, parts, "left_semi", null_safe=True)
 
     def overwrite_partitions(self, name: str, df: DataFrame) -> None:
         """Replace just the partitions that ``df`` holds. ``df`` may read them."""
@@ -151,6 +149,13 @@ class Tables:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*current["partition_by"]).parquet(f"{self.root}/{name}/{current['version']}"))
 
+    def forget_runs(self, name: str, column: str, runs: Sequence[str]) -> None:
+        """Drop the rows of the given runs, as what a broken run left behind; a table without such rows is not rewritten."""
+        if runs and self.exists(name) and column in (df := self.read(name)).columns:
+            mine = F.coalesce(F.col(column).isin(list(runs)), F.lit(False))
+            if not df.filter(mine).isEmpty():
+                self.replace(name, df.filter(~mine), self.partition_columns(name))
+
     # -- resets --------------------------------------------------------------
 
     def create_empty(self, name: str, schema, partition_by: Sequence[str] = ()) -> None:

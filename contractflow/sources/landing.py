@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,9 @@ def read_landing(spark: SparkSession, contract: Contract, paths: str | Sequence[
                  schema: T.StructType | None = None) -> DataFrame:
     """Files of a contract with ``_source_file`` and ``_source_mtime``.
 
-    CSV and JSON are read with an explicit all-string schema: one pass, no inference.
+    CSV columns are bound by the names in each file's header, so files may order them differently, lack
+    some or bring more (:func:`read_csv_by_name`); with an explicit ``schema``, or without a header, by position.
+    JSON is read with an explicit all-string schema: one pass, no inference.
     JSON is by default an array (or object) per file, which one task reads; JSON lines
     (``multiLine=false``) are splittable and should be used for large files.
     """
@@ -35,7 +39,10 @@ def read_landing(spark: SparkSession, contract: Contract, paths: str | Sequence[
     paths = [paths] if isinstance(paths, str) else list(paths)
     if source.format == "csv":
         options = {"header": "true", "mode": "PERMISSIVE", **source.options}
-        df = reader.schema(schema or text_schema(contract)).options(**options).csv(paths)
+        if schema is None and str(options["header"]).lower() == "true":
+            df = read_csv_by_name(spark, paths, options, contract.field_names)
+        else:
+            df = reader.schema(schema or text_schema(contract)).options(**options).csv(paths)
     elif source.format == "json":
         options = {"multiLine": "true", **source.options}
         df = reader.schema(schema or text_schema(contract)).options(**options).json(paths)
@@ -43,12 +50,52 @@ def read_landing(spark: SparkSession, contract: Contract, paths: str | Sequence[
         df = reader.options(**source.options).parquet(*paths)
     else:
         raise ValueError(f"{contract.name}: not a landing format: {source.format}")
+    return _with_file(df)
+
+
+def _with_file(df: DataFrame) -> DataFrame:
+    if SOURCE_FILE in df.columns:
+        return df
     return df.withColumns({
         SOURCE_FILE: F.col("_metadata.file_path"),
         SOURCE_MTIME: F.col("_metadata.file_modification_time"),
     })
 
 
+def csv_headers(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names of the CSV files below ``paths``, each with its files; a Spark job reads the first blocks."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at")).where("block = 0 and value <> ''")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        line = row["line"].lstrip("\ufeff")
+        names = next(csv.reader([line], delimiter=options.get("sep", options.get("delimiter", ",")), quotechar=options.get("quote", '"')))
+        found.setdefault(tuple(n.strip() for n in names), []).extend(row["files"])
+    return found
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], options: dict[str, str], declared: Sequence[str]) -> DataFrame:
+    """CSV files whose columns are bound by name, all text. Names that differ from a declared one in case only become it.
+
+    Files are grouped by header and each group is read with its own schema; columns that a group lacks are NULL.
+    Without any file, or with empty ones only, the result has the declared columns and no rows.
+    """
+    known = {n.lower(): n for n in declared}
+    parts = []
+    for names, files in sorted(csv_headers(spark, paths, options).items()):
+        names = [known.get(n.lower(), n) for n in names]
+        if len({n.lower() for n in names}) < len(names):
+            raise ValueError(f"a column name twice in the header {names} of {files[0]}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        parts.append(_with_file(spark.read.schema(schema).options(**options).csv(files)))
+    if not parts:
+        none = ", ".join(f"`{n}` string" for n in declared)
+        return spark.createDataFrame([], f"{none}, {SOURCE_FILE} string, {SOURCE_MTIME} timestamp")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_csv_by_header(spark: SparkSession, path: str) -> DataFrame:
     """CSV with whatever columns its header names, all strings (schemas that may grow)."""
     return spark.read.option("header", "true").option("recursiveFileLookup", "true").option(
@@ -92,10 +139,23 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return out
 
 
-def read_incremental(spark: SparkSession, contract: Contract, path: str, watermark: datetime | None) -> DataFrame:
-    """Landing rows from files changed after the high watermark of the last good run.
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``mtime`` of all files below a path; their content is not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.col("path").alias("file"), F.col("modificationTime").alias("mtime"))
 
-    The condition is on file metadata, so older files are skipped before they are opened.
-    """
-    df = read_landing(spark, contract, path)
-    return df if watermark is None else df.filter(F.col(SOURCE_MTIME) > F.lit(watermark))
+
+def new_files(spark: SparkSession, path: str, taken: DataFrame | None) -> DataFrame:
+    """Files that no earlier run has taken as they are now: by name and time of change, never by time alone."""
+    found = listing(spark, path)
+    return found if taken is None else found.join(taken.select("file", "mtime"), ["file", "mtime"], "left_anti")
+
+
+def read_incremental(spark: SparkSession, contract: Contract, path: str, taken: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Landing rows of the files not taken yet, and those files."""
+    rows = new_files(spark, path, taken).collect()
+    files = spark.createDataFrame([tuple(r) for r in rows], "file string, mtime timestamp")
+    if rows:
+        return read_landing(spark, contract, [r["file"] for r in rows]), files
+    empty = ", ".join(f"`{n}` string" for n in contract.field_names)
+    return spark.createDataFrame([], f"{empty}, {SOURCE_FILE} string, {SOURCE_MTIME} timestamp"), files

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractflow.catalog import CONTRACTS
+from contractflow.functions.masks import mask_hash
 from contractflow.operators.scd2 import ORIGIN
-from contractflow.plans.pipeline import run_contract, select_contracts
+from contractflow.plans.maintenance import erase_subjects
+from contractflow.plans.pipeline import provision, run_contract, select_contracts
 from contractflow.sinks.runlog import run_log, typed_run_log
 from contractflow.sources import landing
 from contractflow.sources.documents import extract_fields, read_documents
@@ -293,12 +295,97 @@ def test_contract_stream_survives_restart_and_redelivery(spark, tables, tmp_path
     run()
     fares = {r["trip_id"]: r["fare_amount"] for r in tables.read("silver_trips").collect()}
     assert fares == {"t1": 20.0, "t2": 99.0, "t3": 20.0}
-    # The same batch once more, as after a crash between write and commit.
+    # The same batch once more, as after a crash between write and commit: the run is known and skipped.
     batch = spark.createDataFrame([tuple(_trip(3, fare_amount="5").values())], schema)
-    continuous.contract_batches(tables, silver)(batch, 1)
+    continuous.contract_batches(tables, silver, state)(batch, 1)
     assert tables.read("silver_trips").filter("trip_id = 't3'").first()["fare_amount"] == 20.0
+    # Batch 1 of another stream is another run, and none of its rows may be lost.
+    continuous.contract_batches(tables, silver, state + "-other")(batch, 1)
+    assert tables.read("silver_trips").filter("trip_id = 't3'").first()["fare_amount"] == 5.0
     seen = []
     broken = spark.createDataFrame([("x",)], "unrelated string")
     bad_contract = silver.with_(strategy="nonsense")
-    continuous.contract_batches(tables, bad_contract, on_error=lambda e, i: seen.append(i))(broken, 99)
-    assert seen == [99]
+    for _ in range(2):
+        continuous.contract_batches(tables, bad_contract, state, on_error=lambda e, i: seen.append(i))(broken, 99)
+    assert seen == [99, 99]
+    assert [r["row"] for r in tables.read("dead_silver_trips").collect()] == ['{"unrelated":"x"}']
+
+
+def test_columns_of_csv_files_are_bound_by_name(spark, tables, tmp_path):
+    bronze = CONTRACTS["bronze_driver_telemetry"]
+    root = tmp_path / "landing" / bronze.source.path
+    root.mkdir(parents=True)
+    (root / "a.csv").write_text("telemetry_id,driver_id,extra\nt1,d1,x\n")
+    (root / "b.csv").write_text('driver_id,"Telemetry_ID",speed_kmh\nd2,t2,50\n')
+    (root / "c.csv").write_text("driver_id\nd3\n")
+    (root / "empty.csv").write_text("")
+    run_contract(spark, bronze, tables, landing_root=str(tmp_path / "landing"))
+    rows = tables.read(bronze.name).union(tables.read(bronze.name).limit(0)).select("telemetry_id", "driver_id", "speed_kmh", "extra")
+    assert sorted(rows.collect(), key=lambda r: r["driver_id"]) == [("t1", "d1", None, "x"), ("t2", "d2", "50", None), (None, "d3", None, None)]
+
+
+def test_late_files_and_files_of_the_same_time_are_taken(spark, tables, tmp_path):
+    bronze = CONTRACTS["bronze_driver_telemetry"]
+    root = tmp_path / "landing" / bronze.source.path
+    root.mkdir(parents=True)
+
+    def put(name, key, age):
+        (root / name).write_text(f"telemetry_id,driver_id\n{key},d1\n")
+        os.utime(root / name, (1_700_000_000 - age, 1_700_000_000 - age))
+
+    put("a.csv", "t1", 0)
+    run = lambda: run_contract(spark, bronze, tables, landing_root=str(tmp_path / "landing")).good
+    assert run() == 1
+    put("b.csv", "t2", 0)
+    put("c.csv", "t3", 60)
+    assert run() == 2 and run() == 0
+    assert sorted(r["telemetry_id"] for r in tables.read(bronze.name).collect()) == ["t1", "t2", "t3"]
+
+
+def test_failed_and_broken_runs_leave_no_rows_twice(spark, tables, monkeypatch):
+    contract = CONTRACTS["silver_trips"].with_(strategy="append", unique=())
+    schema = ", ".join(f"{c} string" for c in contract.field_names)
+    source = {"source": spark.createDataFrame([tuple(_trip(1).values()), tuple(_trip(2, fare_amount="-1").values())], schema)}
+    for _ in range(2):
+        assert run_contract(spark, contract, tables, source, run_id="r", once=True, fail_on_quarantine=True).status == "failed"
+    assert not tables.exists(contract.name) and tables.read(f"quarantine_{contract.name}").count() == 1
+
+    def crash(*_args, **_kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("contractflow.plans.pipeline.materialize", lambda c, t, good, now: (t.append(c.name, good), crash()))
+        with pytest.raises(RuntimeError):
+            run_contract(spark, contract, tables, source)
+    log = tables.read("_run_log").filter("error_message like 'RuntimeError%'")
+    assert log.count() == 1 and tables.read(contract.name).count() == 1
+    assert run_contract(spark, contract, tables, source).good == 1
+    # one bad row of the refused run and one of the last: what the broken run had stored is gone
+    assert tables.read(contract.name).count() == 1 and tables.read(f"quarantine_{contract.name}").count() == 2
+
+
+def test_text_that_does_not_fit_is_kept_or_quarantined(spark, tables):
+    silver = CONTRACTS["silver_trips"]
+    schema = ", ".join(f"{c} string" for c in silver.field_names)
+    source = {"source": spark.createDataFrame([tuple(_trip(1).values()), tuple(_trip(2, tip_amount="abc").values())], schema)}
+    provision(tables, [silver])
+    result = run_contract(spark, silver, tables, source)
+    assert (result.good, result.report["uncast"]) == (2, 1)
+    kept = {r["trip_id"]: (r["tip_amount"], r["_uncast"]) for r in tables.read("silver_trips").collect()}
+    assert kept == {"t1": (2.0, None), "t2": (None, '{"tip_amount":"abc"}')}
+    result = run_contract(spark, silver, tables, source, fail_on_cast=True)
+    assert (result.good, result.quarantined) == (1, 1)
+    bad = tables.read("quarantine_silver_trips").first()
+    assert "abc" in bad["_uncast"] and "type:tip_amount" in str(bad["_errors"])
+
+
+def test_erasure_reaches_hashes_and_quarantine(spark, tables):
+    requests = next(c for c in CONTRACTS.values() if c.layer == "silver" and "rider_id" in c.field_names and c.field("rider_id").mask == "hash")
+    pii = next((c for c in requests.pii_fields if c != "rider_id"), "rider_id")
+    stored = spark.createDataFrame([("r1", "x"), ("r2", "y")], f"rider_id string, {pii}_ string").select(
+        mask_hash(F.col("rider_id"), "s").alias("rider_id"), *([F.col(f"{pii}_").alias(pii)] if pii != "rider_id" else []))
+    tables.replace(requests.name, stored)
+    tables.replace(f"quarantine_{requests.name}", stored.withColumn("_uncast", F.lit('{"a":"r1"}')))
+    report = erase_subjects(tables, [requests], "rider_id", ["r1"], strategy="nullify", salt="s")
+    assert [(r["rows_touched"], r["applied"]) for r in report] == [(1, True), (1, True)]
+    assert tables.read(f"quarantine_{requests.name}").filter("_uncast is null").count() == 1
