@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..contract import Scd2
+from ..functions import masks
 from ..operators import asof, merge, privacy, reconcile, scd2
 from ..session import stage
 from . import inputs as I
@@ -322,6 +323,16 @@ def erase_redact(lake: Lake):
     return _erase(lake, "redact", partition_filter=F.col("c_acctbal") < 5000)
 
 
+@query("erase_hashed_ids", f"""
+    SELECT sha256('old' || c_custkey) AS c_custkey, CASE WHEN c_nationkey <> 1 THEN c_name END AS c_name FROM customer
+""")
+def erase_hashed_ids(lake: Lake):
+    """The stored ids are hashes under an earlier salt; the subjects are named by their plain ids."""
+    stored = lake("customer").select(masks.mask_hash(F.col("c_custkey"), "old").alias("c_custkey"), "c_name")
+    subjects = lake("customer").filter("c_nationkey = 1").select("c_custkey")
+    return privacy.erase(stored, "c_custkey", subjects, ["c_name"], salts=["", "new", "old"])
+
+
 @query("erasure_report", f"""
     SELECT 'customer' AS table_name, COUNT(*) FILTER (WHERE {_SUBJECTS_SQL}) AS rows_touched FROM customer
     UNION ALL SELECT 'supplier', COUNT(*) FILTER (WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..contract import Contract, Field, fields
+from ..contract import Contract, Field, Source, fields
 from ..functions.masks import mask_hash, mask_redact
 from ..operators import dedup, privacy, schema
 from ..operators.quality import annotate, split
+from ..session import scratch_path
+from ..sources import landing
 from ..sources.documents import extract_fields
 from ..streaming.events import route
 from .registry import Lake, query
@@ -16,6 +18,20 @@ _EVENT = Contract("typed_events", "silver", "marketing", fields(
     "event_id:long!", "ts:timestamp!", "user_id:integer", "event_type", "value:float", "k:integer", "props:integer"))
 
 
+@query("bronze_from_csv", """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_acctbal AS VARCHAR) AS c_acctbal, NULL AS c_mktsegment FROM customer
+    UNION ALL
+    SELECT CAST(c_custkey AS VARCHAR), c_name, NULL, c_mktsegment FROM customer
+""")
+def bronze_from_csv(lake: Lake):
+    """The table as CSV files whose headers differ: another order, another case, a column less, one more than declared."""
+    path, rows = scratch_path(lake.spark, "csv"), lake("customer")
+    rows.select("c_name", F.col("c_custkey").alias("C_CustKey"), "c_acctbal").write.option("header", True).csv(f"{path}/a")
+    rows.select("c_mktsegment", "c_custkey", "c_name").write.option("header", True).csv(f"{path}/b")
+    contract = Contract("landed_customers", "bronze", "marketing", fields("c_custkey", "c_name", "c_acctbal"), source=Source("csv", "customers"))
+    return landing.read_landing(lake.spark, contract, path).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
 @query("cast_to_string", """
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
