@@ -6,6 +6,7 @@ from ._build import bronze, gold, silver
 
 D = "marketing"
 
+# Columns, links, rules, masks and vocabularies of the contracts below.
 BRONZE = (
     bronze("google_ads_campaigns", D, """campaign_id campaign_name ad_group_id ad_group_name date impressions clicks
         cost conversions conversion_value currency"""),

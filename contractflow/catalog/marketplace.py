@@ -6,6 +6,7 @@ from ._build import bronze, gold, silver
 
 D = "marketplace"
 
+# Columns, links, rules, masks and vocabularies of the contracts below.
 BRONZE = (
     bronze("driver_profiles", D, """driver_id name email phone date_of_birth home_address licence_number licence_plate
         vehicle_type bank_account_last_four city_code signup_date status rating updated_at""",

@@ -16,14 +16,7 @@ LICENCE_PATTERNS = {
     "vehicle_classes": r"Classes:\s+(.+)",
 }
 
-_TICKET_FKS = ("rider_id", "rider_profiles.rider_id"), ("trip_id", "{}.trip_id"), (
-    "driver_id", "driver_profiles.driver_id"), ("charge_id", "stripe_charges.charge_id")
-
-
-def _ticket_fks(layer: str, trips: str) -> dict[str, str]:
-    return {column: f"{layer}_{target.format(trips)}" for column, target in _TICKET_FKS}
-
-
+# Columns, links, rules, masks and vocabularies of the contracts below.
 BRONZE = (
     bronze("checkr_background_checks", D, """report_id driver_id full_name date_of_birth ssn_last_four licence_number
         address status result completed_at created_at adjudication""", folders=DAILY,
@@ -40,7 +33,8 @@ BRONZE = (
         price price_unit sent_at delivered_at error_code""", pii=("recipient_phone", "sender_phone", "message_body")),
     bronze("zendesk_support_tickets", D, """ticket_id entry_point rider_id trip_id driver_id charge_id requester_email
         requester_name requester_phone subject ticket_description status priority channel assignee tags_json created_at
-        updated_at solved_at satisfaction_rating""", fks=_ticket_fks("bronze", "trip_completed"),
+        updated_at solved_at satisfaction_rating""", fks={"rider_id": "bronze_rider_profiles.rider_id", "trip_id": "bronze_trip_completed.trip_id",
+             "driver_id": "bronze_driver_profiles.driver_id", "charge_id": "bronze_stripe_charges.charge_id"},
         pii=("requester_email", "requester_name", "requester_phone", "ticket_description")),
 )
 
@@ -62,7 +56,8 @@ SILVER = (
         requester_email! requester_name requester_phone subject ticket_description status priority channel assignee
         tags_json created_at:timestamp updated_at:timestamp solved_at:timestamp satisfaction_rating:float""",
         "bronze_zendesk_support_tickets", key="ticket_id", unique=("ticket_id",), hash=("requester_email",),
-        redact=("requester_name", "requester_phone"), fks=_ticket_fks("silver", "trips")),
+        redact=("requester_name", "requester_phone"), fks={"rider_id": "silver_rider_profiles.rider_id", "trip_id": "silver_trips.trip_id",
+             "driver_id": "silver_driver_profiles.driver_id", "charge_id": "silver_stripe_charges.charge_id"}),
 )
 
 _LABELS = {

@@ -5,6 +5,7 @@ from ._build import DAILY, bronze, gold, silver
 
 D = "payments"
 
+# Columns, links, rules, masks and vocabularies of the contracts below.
 BRONZE = (
     bronze("stripe_charges", D, """charge_id rider_id trip_id amount currency status payment_method_type card_last_four
         billing_email billing_address created_at metadata_json""", folders=DAILY,

@@ -21,6 +21,7 @@ def _driver_360(i, salt: str = ""):
 _driver_360.takes_salt = True
 _NO_DUPLICATES = dict(strategy="overwrite")
 
+# Columns, links, rules and vocabularies of the contracts below.
 GOLD = (
     gold("shared_dim_driver_360", D, """driver_id! full_name email city_code status rating:float verification_status
         verification_completed_at:timestamp lifetime_payout_amount:float last_payout_date""",

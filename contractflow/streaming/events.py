@@ -11,6 +11,7 @@ MAX_EVENTS_PER_TRIGGER = 10_000
 TRIGGER_INTERVAL = "30 seconds"
 
 MESSAGE_SCHEMA = "body binary, enqueuedTime timestamp, partitionKey string"
+# Folders of landed messages, and columns of a message.
 PARTITIONS = ("entity", "year", "month", "day", "hour")
 
 
