@@ -57,11 +57,14 @@ def test_odd_rows_and_rare_tokens(spark):
 
 def test_probabilities_of_all_next_steps_add_to_one():
     """At each node both steps are predicted before either is seen, so a word's steps are a code."""
-    code = mixing_lm.Code.of(np.arange(256))
-    assert abs(sum(2.0 ** -int(n) for n in code.length) - 1) < 1e-12
-    words = [b"abc", b"a", mixing_lm.END_TOKEN, "é".encode()]
+    code = mixing_lm.Code.of(np.arange(1 << 16))
+    assert np.allclose((2.0 ** -code.length.reshape(256, 256)).sum(axis=1), 1)
+    words = [b"abc", b"a", mixing_lm.END_TOKEN, mixing_lm.NEW_TOKEN, "é".encode()]
     sizes = np.concatenate([n for n, *_ in mixing_lm.steps(words, code)])
-    ends = [sum(code.length[b] for b in w) + (code.length[32] if w != mixing_lm.END_TOKEN else 0) for w in words]
+    ends = []
+    for w in words:
+        path = w if w in (mixing_lm.END_TOKEN, mixing_lm.NEW_TOKEN) else w + b" "
+        ends.append(sum(code.length[256 * a + b] for a, b in zip(b" " + path, path)))
     assert sizes.tolist() == ends
 
 
