@@ -1,6 +1,7 @@
 """Best-fit packing of token sequences: bounded-space online best-fit over a bitset of free spaces.
 
-Texts become token ids in Arrow batches; only a few numbers a piece leave the task. Pieces are then dealt round robin into
+Texts become token ids in Arrow batches, and each piece carries its ids to the place it is packed at: the ids of a sequence are
+those of its pieces in order of ``offset``. Checksums are made of the packed ids. Pieces are dealt round robin into
 partitions of about ``group_rows`` rows, longest first, and each partition is packed as its rows stream by. At most ``open_bins``
 sequences are open; bit ``f`` of an integer says that one with ``f`` free places is open, so the best fit for a piece of
 length ``n`` is the lowest set bit from ``n`` up. When a new sequence would be one too many, the fullest closes first.
@@ -19,6 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,7 @@ from .base import query, read, utf8
 
 #: Token ids of words seen by this worker are kept up to so many words, then forgotten; results do not depend on it.
 CACHE_WORDS = 1_000_000
-PIECES = "piece int, start long, length long, ids_crc32 long"
+PIECES = "piece int, start long, length long, ids array<int>"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -120,13 +122,13 @@ def word_tokens(path: str) -> WordTokens:
 
 def token_pieces(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str = "text",
                  path: str | None = None, end_id: int = 0) -> DataFrame:
-    """One row for each piece of at most ``limit`` tokens of a document: its place there, and the checksum of its ids."""
+    """One row for each piece of at most ``limit`` tokens of a document: its place there, and its ids."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = word_tokens(path or tokenizer_path()), array("I", [end_id]).tobytes()
         for batch in small(batches):
-            row, piece, start, length, crc = [], [], [], [], []
+            row, piece, start, length, parts = [], [], [], [], []
             for i, ids in enumerate(tokens(utf8(batch.column(1)))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
@@ -135,10 +137,12 @@ def token_pieces(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str
                     piece.append(k)
                     start.append(at // 4)
                     length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+                    parts.append(part)
+            at = pa.array(np.cumsum([0, *length]), pa.int32())
+            held = pa.ListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(parts), np.int32)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()), pa.array(crc, pa.int64())], [id_col, "piece", "start", "length", "ids_crc32"])
+                pa.array(length, pa.int64()), held], [id_col, "piece", "start", "length", "ids"])
 
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, {PIECES}")
 
@@ -193,14 +197,28 @@ def best_fit(items: DataFrame, limit: int, length: str = "length", open_bins: in
     return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
+def checksums(packed: DataFrame, ids: str = "ids") -> DataFrame:
+    """``packed`` with ``ids_crc32``: the CRC-32 of a row's ids as little-endian 32-bit words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(ids))
+            values, at = column.values.to_numpy().astype("<i4", copy=False), column.offsets.to_numpy()
+            crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(crc, pa.int64())], [*batch.schema.names, "ids_crc32"])
+
+    return packed.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in packed.dtypes) + ", ids_crc32 long")
+
+
 def pack(docs: DataFrame, limit: int = 2048, path: str | None = None, id_col: str = "doc_id", text: str = "text",
          open_bins: int = 4096, group_rows: int = 100_000) -> DataFrame:
-    """Documents cut and packed: one row a piece, see :func:`token_pieces` and :func:`best_fit`."""
-    return best_fit(stage(token_pieces(docs, limit, id_col, text, path), "pieces"), limit,
-                    open_bins=open_bins, group_rows=group_rows)
+    """Documents cut and packed: one row a piece with its ids, see :func:`token_pieces`, :func:`best_fit`, :func:`checksums`."""
+    packed = best_fit(stage(token_pieces(docs, limit, id_col, text, path), "pieces"), limit,
+                      open_bins=open_bins, group_rows=group_rows)
+    return checksums(packed).select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 
 
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in sequences of at most 2048 tokens."""
-    return pack(read(spark, folder, "documents"))
+    """All documents in sequences of at most 2048 tokens: where each piece lies, and the checksum of the ids packed there."""
+    return pack(read(spark, folder, "documents")).drop("ids")

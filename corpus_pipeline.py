@@ -38,7 +38,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in sequences of at most 2048 tokens, a row a piece."""
+    """All documents in sequences of at most 2048 tokens, a row a piece with its token ids."""
     settings(spark)
     return packing.pack(docs, limit=2048)
 

@@ -98,6 +98,28 @@ def test_packing_by_the_tokenizer_itself(spark):
     assert packing.pack(helpers.docs(spark, [])).count() == 0
 
 
+def test_sequences_can_be_built_from_their_pieces(spark):
+    session_settings(spark)
+    rng = random.Random(2)
+    rows = helpers.odd_rows() + [(i, helpers.prose(rng, rng.randint(1, 60)), "en", "a", 1) for i in range(100, 160)]
+    tok = packing.word_tokens(packing.tokenizer_path()).tokenizer
+    made, back = {}, {}
+    for r in packing.pack(helpers.docs(spark, rows), 64).collect():
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        made.setdefault(r["sequence_id"], []).append((r["offset"], r["ids"]))
+        if r["doc_id"] not in (None, 2):
+            back.setdefault(r["doc_id"], []).append((r["start"], r["ids"]))
+    for parts in made.values():
+        sequence = []
+        for offset, ids in sorted(parts):
+            assert offset == len(sequence)
+            sequence += ids
+        assert len(sequence) <= 64
+    for r in rows:
+        if r[0] not in (None, 2):
+            assert [i for _, ids in sorted(back[r[0]]) for i in ids] == tok.encode(r[1] or "", add_special_tokens=False).ids + [0]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=200), st.integers(1, 12))
 def test_best_fit_keeps_its_promises(sizes, open_bins):
