@@ -196,10 +196,10 @@ def overlaps(docs: DataFrame, items: DataFrame, min_tokens: int = 13, id_col: st
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents in which no passage of ``items`` was found, with all their columns."""
-    id_col = options.get("id_col", "doc_id")
-    leaked = stage(overlaps(docs, items, **options).select(F.col(id_col).alias("_leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs[id_col].eqNullSafe(F.col("_leaked")), "left_anti")
+    """The rows in whose text no passage of ``items`` was found, with all their columns; rows that share an id go each by its text."""
+    rows = stage(docs.withColumn("_leak_row", F.monotonically_increasing_id()), "rows")
+    leaked = stage(overlaps(rows, items, **{**options, "id_col": "_leak_row"}).select("_leak_row").distinct(), "leaked")
+    return rows.join(leaked, "_leak_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @query("op2_spaced_seed_decontamination")

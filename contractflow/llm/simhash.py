@@ -10,8 +10,8 @@ broadcast. A tree yields one link from each fingerprint to the lowest one that i
 over these links are the components over all pairs.
 
 Cases: null and empty texts have fingerprint zero, linked like any other; repeated rows and equal texts are one fingerprint; a
-null id takes part but is never the name of a component unless there is no other; extra columns are not read by
-:func:`near_duplicates`, and kept by :func:`keep_first`, for which names that start with ``_dup_`` are its own.
+null id takes part, links others too, and is never the name of a component unless there is no other; extra columns are not read by
+:func:`near_duplicates`, and kept by :func:`keep_first_row` and :func:`keep_first`, for which names that start with ``_dup_`` are their own.
 """
 
 from __future__ import annotations
@@ -181,17 +181,34 @@ def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2, id_col: s
     """One row a document: its id, ``fp``, and ``component_id``, the lowest id that links reach. Ids are integers."""
     prints = stage(fingerprints(docs, length, id_col, text), "fingerprints")
     nodes = stage(prints.groupBy("fp").agg(F.min(F.col(id_col).cast("long")).alias("name")), "nodes")
-    links = link_fingerprints(nodes.where("name is not null"), radius)
+    row = nodes.agg(F.max("name").alias("top"), F.count_if(F.col("name").isNull()).alias("unnamed")).first()
+    top = -1 if row["top"] is None else row["top"]
+    if row["unnamed"]:  # fingerprints of null ids alone link too, under names above all ids
+        nodes = stage(nodes.withColumn("name", F.coalesce("name", F.lit(top).cast("long") + 1 + F.monotonically_increasing_id())), "nodes")
+    links = link_fingerprints(nodes, radius)
     found = connected_components(links, "a", "b")
-    of = nodes.join(found, nodes["name"] == found["node"], "left").select(
-        F.col("fp"), F.coalesce("component", "name").alias("component_id"))
+    name = F.coalesce("component", "name")
+    of = nodes.join(found, nodes["name"] == found["node"], "left").select("fp", F.when(name <= top, name).alias("component_id"))
     return prints.join(of, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_first_row(docs: DataFrame, length: int = 3, radius: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that of the lowest id, null ids last.
+
+    Rows are told apart by a key of their own, not by id: rows that share an id, or have none, stand or fall each by its text.
+    """
+    rows = stage(docs.withColumn("_dup_row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, length, radius, "_dup_row", text).select("_dup_row", "component_id")
+    rank = F.struct(F.col("_dup_id").isNull().alias("none"), "_dup_id", "_dup_row")
+    first = found.join(rows.select("_dup_row", F.col(id_col).alias("_dup_id")), "_dup_row").groupBy("component_id").agg(F.min(rank).alias("_dup_first"))
+    return rows.join(first.select(F.col("_dup_first._dup_row").alias("_dup_row")), "_dup_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def keep_first(docs: DataFrame, length: int = 3, radius: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The document of the lowest id of each component, with all its columns.
 
-    Rows that repeat id and text collapse to one. Rows that share an id but not a text are kept or dropped together.
+    Rows that repeat id and text collapse to one. Rows that share an id but not a text are kept or dropped together, and so are
+    all rows of null ids; :func:`keep_first_row` decides row by row.
     """
     found = near_duplicates(docs, length, radius, id_col, text)
     ids = found.groupBy(F.col(id_col).alias("_dup_id")).agg(F.min("component_id").alias("_dup_first"), F.count("*").alias("_dup_rows"))

@@ -20,9 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group within two bits of each other, the document of the lowest id stays."""
+    """Of each group within two bits of each other, the row of the lowest id stays; null ids come last."""
     settings(spark)
-    return simhash.keep_first(docs, length=3, radius=2)
+    return simhash.keep_first_row(docs, length=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,44 @@ def test_near_duplicates_by_brute_force(spark):
     assert simhash.keep_first(helpers.docs(spark, [])).count() == 0
 
 
+def near_chain():
+    """Three texts: the second is within two bits of both others, these are not of each other."""
+    rng = random.Random(11)
+    for _ in range(50):
+        words = helpers.prose(rng, 400).split(" ")
+        texts = []
+        for k in range(12):
+            texts.append(" ".join(words))
+            words[rng.randrange(len(words))] = f"changed{k}"
+        prints = [print_of(t) for t in texts]
+        for i in range(12):
+            for j in range(12):
+                for k in range(i):
+                    if (prints[i] ^ prints[k]).bit_count() > 2 >= max((prints[j] ^ prints[k]).bit_count(), (prints[j] ^ prints[i]).bit_count()):
+                        return texts[k], texts[j], texts[i]
+
+
+def test_rows_of_null_or_shared_ids_go_by_their_texts(spark):
+    session_settings(spark)
+    rng = random.Random(12)
+    a, b, c = near_chain()
+    alone, other = helpers.prose(rng, 60), helpers.prose(rng, 60)
+    rows = [(1, a, "en", "a", 1), (None, b, "en", "a", 1), (2, c, "en", "a", 1), (3, None, "en", "a", 1), (None, "", "en", "a", 1),
+            (None, alone, "en", "a", 1), (None, alone, "en", "b", 1), (4, other, "en", "a", 1), (4, a, "en", "a", 1)]
+    out = simhash.near_duplicates(helpers.docs(spark, rows)).collect()
+    of = {(r["doc_id"], r["fp"] & (1 << 64) - 1): r["component_id"] for r in out}
+    assert len(out) == len(rows)
+    assert (of[1, print_of(a)], of[None, print_of(b)], of[2, print_of(c)], of[None, print_of(alone)]) == (1, 1, 1, None)
+    kept = simhash.keep_first_row(helpers.docs(spark, rows)).collect()
+    assert sorted(map(repr, [(r["doc_id"], r["text"]) for r in kept])) == sorted(map(repr, [(1, a), (3, None), (None, alone), (4, other)]))
+    nobody = simhash.keep_first_row(helpers.docs(spark, [(None, a, "en", "a", 1), (None, c, "en", "a", 1), (None, b, "en", "a", 1)]))
+    assert nobody.count() == 1
+    item = helpers.prose(rng, 30)
+    rows = [(None, item, "en", "a", 1), (None, alone, "en", "a", 1), (7, other + " " + item, "en", "a", 1), (7, other, "en", "a", 1)]
+    left = decontaminate.without_leaks(helpers.docs(spark, rows), spark.createDataFrame([(1, item)], helpers.ITEMS))
+    assert helpers.rows_of(left) == helpers.rows_of(helpers.docs(spark, [rows[1], rows[3]]))
+
+
 def test_links_of_crowded_fingerprints(spark):
     """Many fingerprints that share blocks, and shards cut again, against all pairs."""
     rng = random.Random(9)
