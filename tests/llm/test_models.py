@@ -80,6 +80,50 @@ def test_blocks_do_not_depend_on_other_texts():
         assert abs(alone[0][0] - whole[0][i]) < 1e-2 and abs(alone[1][0] - whole[1][i]) < 1e-2
 
 
+def test_weights_by_gate_and_bias_by_level():
+    """One text, step by step, against a plain twin."""
+    m = mixing_lm
+    assert m.ORDERS == (1, 2, 3, 5)
+    rng = np.random.default_rng(1)
+    first = np.array([0, 3000, 3008])
+    x = (rng.normal(size=(3008, m.K)) * 3).astype(np.float32)
+    gate, bit = rng.integers(0, m.GATES, 3008), (rng.random(3008) < 0.8).astype(np.uint8)
+    start = rng.normal(size=(m.GATES, m.K)) * 0.3
+    w, bias, want = start.copy(), np.zeros(m.LEVELS), 0.0
+    for at, n in m.block_sizes(3000):
+        dw, db = np.zeros_like(w), np.zeros_like(bias)
+        for i in range(at, min(3000, at + n)):
+            z = float(x[i] @ w[gate[i]])
+            level = int(min(max(z + m.LEVELS // 2, 0), m.LEVELS - 1))
+            p = 1 / (1 + math.exp(-min(max(z + bias[level], -16), 16)))
+            want += math.log(p if bit[i] else 1 - p)
+            dw[gate[i]] += (bit[i] - p) * x[i]
+            db[level] += bit[i] - p
+        w += m.RATE * min(1.0, 256 / n) * dw
+        bias += m.BIAS_RATE * min(1.0, 64 / n) * db
+    got, _ = m.mixed(first, x, gate, bit, [np.array([0])], np.array([False]), start)
+    assert abs(got[0] - want) < 1e-3 * abs(want)
+
+
+def test_whole_fold_sets_the_weights(spark, monkeypatch):
+    seen = {}
+
+    class Enough(Exception):
+        pass
+
+    def learn(docs, fold, **_):
+        seen["ids"] = {r["doc_id"] for r in docs.where(fold).collect()}
+        raise Enough
+
+    monkeypatch.setattr(mixing_lm, "learn", learn)
+    try:
+        QUERIES["op3_context_mixing_lm"](spark, FOLDER)
+    except Enough:
+        pass
+    ids = [r["doc_id"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    assert seen["ids"] == {d for d in ids if zlib.crc32(str(d).encode()) % 7 == 3} != set()
+
+
 def kn_twin(texts, order):
     """Plain interpolated modified Kneser-Ney over bytes."""
     counts = {order: collections.Counter()}
