@@ -123,3 +123,9 @@ FROM summed WHERE run_words >= 20
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated lines of all documents, in runs of twenty words or more."""
     return repeated_units(read(spark, folder, "documents")).drop("_row")
+
+
+@query("op1_line_dedup_all")
+def op1_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every repeated line of all documents, however short; ``run_words`` lets the caller choose."""
+    return repeated_units(read(spark, folder, "documents"), min_run_words=0).drop("_row")

@@ -5,7 +5,7 @@ import re
 
 import xxhash
 
-from contractflow.llm import components, decontaminate, line_dedup, simhash
+from contractflow.llm import QUERIES, components, decontaminate, line_dedup, simhash
 from contractflow.llm.base import settings as session_settings
 
 import helpers
@@ -158,6 +158,20 @@ def test_repeated_lines_by_brute_force(spark):
     assert {r["doc_id"] for r in odd.collect()} <= {2, 6}
 
 
+def test_every_repeated_line_of_the_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    seen, want = set(), set()
+    for r in sorted(spark.read.parquet(f"{folder}/documents.parquet").collect(), key=lambda r: r["doc_id"]):
+        for k, (start, end, words) in enumerate(line_dedup.text_units(r["text"] or "")):
+            if tuple(words) in seen:
+                want.add((r["doc_id"], k, start, end))
+            seen.add(tuple(words))
+    out = QUERIES["op1_line_dedup_all"](spark, folder).collect()
+    assert {(r["doc_id"], r["unit"], r["start"], r["end"]) for r in out} == want and len(out) == len(want)
+    assert any(r["run_words"] < line_dedup.MIN_RUN_WORDS for r in out)
+    assert sorted(r for r in out if r["run_words"] >= line_dedup.MIN_RUN_WORDS) == sorted(QUERIES["op1_line_dedup"](spark, folder).collect())
+
+
 def _placed(text):
     at = 0
     for part in text.split("\n"):
