@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline, and their queries. Nothing outside this folder imports it."""
 
-from . import decision_list, decontaminate, entropy_secrets, kneser_ney, line_dedup, mixing_lm, packing, rendezvous, simhash, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    decision_list, decontaminate, entropy_secrets, kneser_ney, line_dedup, mixing_lm, packing, periodic_runs, rendezvous, simhash, toxicity)
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
