@@ -1,8 +1,9 @@
 """Best-fit packing of token sequences: bounded-space online best-fit over a bitset of free spaces.
 
-Texts become token ids in Arrow batches, and each piece carries its ids to the place it is packed at: the ids of a sequence are
-those of its pieces in order of ``offset``. Checksums are made of the packed ids. Pieces are dealt round robin into
-partitions of about ``group_rows`` rows, longest first, and each partition is packed as its rows stream by. At most ``open_bins``
+Texts become token ids in Arrow batches, a stored row a piece. Keys and lengths alone are dealt round robin into
+partitions of about ``group_rows`` rows, longest first, and each partition is packed as its rows stream by; then the ids are joined to
+their places by key, in partitions of the shuffle. The ids of a sequence are those of its pieces in order of ``offset``; checksums
+are made of the packed ids. At most ``open_bins``
 sequences are open; bit ``f`` of an integer says that one with ``f`` free places is open, so the best fit for a piece of
 length ``n`` is the lowest set bit from ``n`` up. When a new sequence would be one too many, the fullest closes first.
 
@@ -15,7 +16,6 @@ from __future__ import annotations
 import json
 import math
 import os
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,8 +31,12 @@ from .base import pieces as small
 from .base import query, read, utf8
 
 #: Token ids of words seen by this worker are kept up to so many words, then forgotten; results do not depend on it.
-CACHE_WORDS = 1_000_000
-PIECES = "piece int, start long, length long, ids array<int>"
+CACHE_WORDS = 600_000
+PIECES = "_key long, piece int, start long, length long, ids array<int>"
+
+
+#: Documents that become ids at once in a task.
+STEP = 200
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,19 +45,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordTokens:
+#: ASCII marks; a run of them after letters, or alone, is one piece for the tokenizer.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+class WordTokens(dict):
     """Token ids by a tokenizer whose tokens never span ASCII white space, as little-endian 32-bit words in bytes.
 
-    Each white-space separated run is encoded once and remembered. Runs of Latin letters that end in at most one mark,
-    nearly all of a text, are put in lower case here and their parts go to the tokenizer's model; any other run goes
-    through the whole tokenizer.
+    A map from white-space separated runs to their ids: each run is encoded when it is first asked for, and remembered. Runs of Latin
+    letters that may end in marks, nearly all of a text, are put in lower case here and their parts go to the tokenizer's
+    model; any other run goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.known, self.parts = self.tokenizer.model, {}, {}
+        self.model, self.parts = self.tokenizer.model, {}
         setup = json.loads(self.tokenizer.to_str())
         steps = [x["type"] for x in setup["normalizer"]["normalizers"]] if setup["normalizer"] else []
         #: What :meth:`plain` does by itself; for any other set-up all runs take the long way.
@@ -63,50 +72,45 @@ class WordTokens:
         self.letters = {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
     def part(self, text: str) -> bytes:
-        """Ids of letters, or of a mark, in lower case."""
+        """Ids of letters, or of marks, in lower case."""
         found = self.parts.get(text)
         if found is None:
             as_bytes = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
-            found = array("I", [t.id for t in self.model.tokenize(as_bytes)]).tobytes()
-            self.parts[text] = found
+            found = self.parts[text] = array("I", [t.id for t in self.model.tokenize(as_bytes)]).tobytes()
         return found
 
     def plain(self, run: bytes) -> bytes | None:
-        """Ids of a run, or nothing if it isn't Latin letters with a mark after them at most."""
-        text = run.decode("utf-8", "replace")
-        if not text.isascii():
-            if max(text) > "\u024f" or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
+        """Ids of a run, or nothing if it isn't Latin letters with marks after them at most."""
+        if run.isascii():
+            text = run.decode().lower()
+        else:
+            text = run.decode("utf-8", "replace")
+            # No character up to U+024F is changed by normalisation, or by its neighbours when it is put in lower case.
+            if max(text) > "\u024f" or "\u0130" in text:
                 return None
-        text = text.lower()
+            text = text.lower()
         if text.isalpha():
             return self.part(text)
-        if text[-1] in ".,;:!?" and text[:-1].isalpha():
-            return self.part(text[:-1]) + self.part(text[-1])
+        head = text.rstrip(MARKS)
+        if not head:
+            return self.part(text)
+        if len(head) < len(text) and head.isalpha():
+            return self.part(head) + self.part(text[len(head):])
         return None
 
-    def add(self, runs: list[bytes]) -> None:
-        long_way = []
-        for run in runs:
-            found = self.plain(run) if self.simple else None
-            if found is None:
-                long_way.append(run)
-            else:
-                self.known[run] = found
-        if long_way:
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in long_way], add_special_tokens=False)
-            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(long_way, encoded))
+    def __missing__(self, run: bytes) -> bytes:
+        found = self.plain(run) if self.simple else None
+        if found is None:
+            found = array("I", self.tokenizer.encode(run.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+        self[run] = found
+        return found
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
-            runs = text.split()
-            new = set(runs).difference(self.known)
-            if new:
-                if len(self.known) + len(new) > CACHE_WORDS:
-                    self.known.clear()
-                    self.parts.clear()
-                    new = set(runs)
-                self.add(list(new))
-            yield b"".join(map(self.known.__getitem__, runs))
+            if len(self) > CACHE_WORDS:
+                self.clear()
+                self.parts.clear()
+            yield b"".join(map(self.__getitem__, text.split()))
 
 
 _loaded: dict[str, WordTokens] = {}
@@ -122,12 +126,14 @@ def word_tokens(path: str) -> WordTokens:
 
 def token_pieces(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str = "text",
                  path: str | None = None, end_id: int = 0) -> DataFrame:
-    """One row for each piece of at most ``limit`` tokens of a document: its place there, and its ids."""
+    """One row for each piece of at most ``limit`` tokens of a document: a key, its place there, and its ids. To be stored, as keys
+    are numbers of rows of a task."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = word_tokens(path or tokenizer_path()), array("I", [end_id]).tobytes()
-        for batch in small(batches):
+        key = TaskContext.get().partitionId() << 40
+        for batch in small(batches, STEP):
             row, piece, start, length, parts = [], [], [], [], []
             for i, ids in enumerate(tokens(utf8(batch.column(1)))):
                 ids += end
@@ -141,8 +147,9 @@ def token_pieces(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str
             at = pa.array(np.cumsum([0, *length]), pa.int32())
             held = pa.ListArray.from_arrays(at, pa.array(np.frombuffer(b"".join(parts), np.int32)))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()), held], [id_col, "piece", "start", "length", "ids"])
+                batch.column(0).take(pa.array(row, pa.int64())), pa.array(key + np.arange(len(row)), pa.int64()), pa.array(piece, pa.int32()),
+                pa.array(start, pa.int64()), pa.array(length, pa.int64()), held], [id_col, "_key", "piece", "start", "length", "ids"])
+            key += len(row)
 
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, {PIECES}")
 
@@ -210,15 +217,38 @@ def checksums(packed: DataFrame, ids: str = "ids") -> DataFrame:
     return packed.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in packed.dtypes) + ", ids_crc32 long")
 
 
+def digests(rows: DataFrame, ids: str = "ids") -> DataFrame:
+    """As :func:`checksums`, without the ids themselves, which then need not leave the Python worker."""
+    names = [c for c in rows.columns if c != ids]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(len(names))
+            values, at = column.values.to_numpy().astype("<i4", copy=False), column.offsets.to_numpy()
+            crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(crc, pa.int64())], [*names, "ids_crc32"])
+
+    return rows.select(*names, ids).mapInArrow(run, ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) + ", ids_crc32 long")
+
+
+def placed_pieces(docs: DataFrame, limit: int = 2048, path: str | None = None, id_col: str = "doc_id", text: str = "text",
+                  open_bins: int = 4096, group_rows: int = 100_000) -> DataFrame:
+    """Documents cut and packed: one row a piece with its ids, see :func:`token_pieces` and :func:`best_fit`."""
+    held = stage(token_pieces(docs, limit, id_col, text, path), "pieces")
+    places = best_fit(held.select("_key", "length"), limit, open_bins=open_bins, group_rows=group_rows).drop("length")
+    # The places are some bytes a row, the ids thousands: the join builds its table of the former and need not sort the latter.
+    packed = held.join(places.hint("shuffle_hash"), "_key")
+    return packed.select(id_col, "piece", "start", "length", "sequence_id", "offset", "ids")
+
+
 def pack(docs: DataFrame, limit: int = 2048, path: str | None = None, id_col: str = "doc_id", text: str = "text",
          open_bins: int = 4096, group_rows: int = 100_000) -> DataFrame:
-    """Documents cut and packed: one row a piece with its ids, see :func:`token_pieces`, :func:`best_fit`, :func:`checksums`."""
-    packed = best_fit(stage(token_pieces(docs, limit, id_col, text, path), "pieces"), limit,
-                      open_bins=open_bins, group_rows=group_rows)
-    return checksums(packed).select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
+    """:func:`placed_pieces` with the checksum of the ids of each."""
+    packed = checksums(placed_pieces(docs, limit, path, id_col, text, open_bins, group_rows))
+    return packed.select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 
 
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens: where each piece lies, and the checksum of the ids packed there."""
-    return pack(read(spark, folder, "documents")).drop("ids")
+    return digests(placed_pieces(read(spark, folder, "documents")))

@@ -16,7 +16,6 @@ equal rows in any order; an empty table gives empty folders that read as no rows
 from __future__ import annotations
 
 import math
-import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -25,16 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .base import pieces, query, read, utf8
-from .packing import tokenizer_path, word_tokens
+from .packing import STEP, digests, tokenizer_path, word_tokens
 
 #: UTF-8 bytes of text to a file, bytes of a row group, rows and bytes of a page.
 FILE_BYTES, GROUP_BYTES, PAGE_ROWS, PAGE_BYTES = 64 << 20, 16 << 20, 256, 1 << 18
-#: Documents that become ids at once in a task.
-STEP = 200
 
 
 def encoded(docs: DataFrame, id_col: str, text: str, path: str | None, end_id: int) -> DataFrame:
@@ -131,21 +127,6 @@ def read_span(spark: SparkSession, folder: str, first: int, last: int) -> DataFr
     return found.select(found.columns[0], (F.col("start") + cut).alias("start"), ids.alias("ids"))
 
 
-def digests(rows: DataFrame, ids: str = "ids") -> DataFrame:
-    """``rows`` with ``ids_crc32``, the CRC-32 of its ids as little-endian 32-bit words, in place of the ids."""
-    names = [c for c in rows.columns if c != ids]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(len(names))
-            values, at = column.values.to_numpy().astype("<i4", copy=False), column.offsets.to_numpy()
-            crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(crc, pa.int64())], [*names, "ids_crc32"])
-
-    schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("ids_crc32", T.LongType())])
-    return rows.select(*names, ids).mapInArrow(run, schema)
-
-
 @query("op12_token_files")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as files of token ids and read back: where each starts, its length and the checksum of its ids."""
