@@ -131,6 +131,41 @@ def test_spans_by_brute_force(spark):
     assert entropy_secrets.with_spans(helpers.docs(spark, [])).count() == 0
 
 
+def hard_rows():
+    """Long candidates, thousands of matches in a text, and patterns' spans before, after and inside candidates."""
+    rng = random.Random(12)
+    key = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    many = [rng.choice([key(letters + "0123456789", 24), "token=" + key(letters, 12), key("0123456789abcdef", 34), "AKIA" + key("ABC1", 14),
+                        "😀", "AAAA" + key(letters, 20) + "token=" + key(letters, 9)]) for _ in range(1500)]
+    return [
+        (1, "a-12-" * 200_000, "en", "a", 1), (2, "x" * 1_000_000, "en", "a", 1), (3, " ".join(many), "en", "a", 1),
+        (4, key(letters, 30) + " " + key("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32) + " " + "A" * 10 + key(letters, 20) + "-1", "en", "a", 1),
+        (5, " ".join(key("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 20) + "7" for _ in range(50)), "en", "a", 1),
+        (6, "Some-Ordinary-Words_and/OTHER/words=1234-" * 3 + "end", "en", "a", 1), (7, "Aa-" * 200_000, "en", "a", 1),
+    ]
+
+
+def test_long_runs_and_many_matches(spark):
+    rows = hard_rows()
+    docs = helpers.docs(spark, rows)
+    found = entropy_secrets.with_spans(docs).select("doc_id", entropy_secrets.listed(entropy_secrets.KINDS).alias("spans"))
+    got, order = {r["doc_id"]: r["spans"] for r in found.collect()}, {k: i for i, k in enumerate(entropy_secrets.KINDS)}
+    clean = {r["doc_id"]: r["text"] for r in entropy_secrets.redact(docs).select("doc_id", "text").collect()}
+    for doc_id, text, *_ in rows:
+        base = base_spans(text)
+        spans = sorted(base + ([] if doc_id in (1, 2, 7) else entropy_spans(text, base)), key=lambda s: (s[1], order[s[0]]))
+        assert got[doc_id] == ",".join(f"{k}:{a}:{b}" for k, a, b in spans), doc_id
+        parts, at = [], 0
+        for k, a, b in sorted(spans, key=lambda s: s[1:]):
+            if a >= at:
+                parts.append(text[at:a])
+            at = max(at, b)
+        assert clean[doc_id] == "[SECRET]".join([*parts, text[at:]])
+    # Keys of letters alone, or with one digit, have classes of their own.
+    assert got[4].count("entropy") >= 2 and got[5].count("entropy") >= 20 and got[6] == ""
+
+
 def test_redacted_texts(spark):
     rows = secret_rows()
     docs = helpers.clash(helpers.docs(spark, rows))
