@@ -162,7 +162,7 @@ def test_every_repeated_line_of_the_given_tables(spark):
     folder = "/root/testdata/sf0.01"
     seen, want = set(), set()
     for r in sorted(spark.read.parquet(f"{folder}/documents.parquet").collect(), key=lambda r: r["doc_id"]):
-        for k, (start, end, words) in enumerate(line_dedup.text_units(r["text"] or "")):
+        for k, (start, end, words) in enumerate(line_dedup.text_units(r["text"] or "", "clause")):
             if tuple(words) in seen:
                 want.add((r["doc_id"], k, start, end))
             seen.add(tuple(words))
@@ -172,6 +172,61 @@ def test_every_repeated_line_of_the_given_tables(spark):
     assert sorted(r for r in out if r["run_words"] >= line_dedup.MIN_RUN_WORDS) == sorted(QUERIES["op1_line_dedup"](spark, folder).collect())
 
 
+def plain_clauses(text):
+    """Start, end and words of clauses, character by character."""
+    blanks, out, at = " \t\n\x0b\x0c\r", [], 0
+    for i in range(1, len(text) + 1):
+        if i == len(text) or (text[i - 1] in ".!?,;:" and text[i] in blanks) or text[i - 1:i + 1] == "\n\n":
+            part = text[at:i]
+            words = [w for w in re.split("[" + blanks + "]+", part.translate({i: i + 32 for i in range(65, 91)})) if w]
+            if len(words) >= 4:
+                start = at + len(part) - len(part.lstrip(blanks))
+                out.append((start, start + len(part.strip(blanks)), [w.encode() for w in words]))
+            at = i
+    return out
+
+
+def test_clauses_by_brute_force(spark):
+    session_settings(spark)
+    rng = random.Random(15)
+    passage = helpers.prose(rng, 70, line=9).replace("\n", " ").replace(". ", "; ", 2)
+    rows = [r for r in helpers.odd_rows() if r[0] not in (2, None)]
+    for i in range(100, 130):
+        words = passage.split()
+        for k in range(i % 7, len(words), 13):  # each copy has its own line breaks
+            words[k] += "\n"
+        body = helpers.prose(rng, 40).rstrip(".") + ". " + " ".join(words).replace("\n ", "\n") + "\n\n" + helpers.prose(rng, 30)
+        rows.append((i, body, "en", "a", 1))
+    for text in [r[1] or "" for r in rows] + ["a, b; c. d: e f g h\n\n\ni j k l . m", "x.y z? 1,2 3 4 5!\tsix seven eight nine", " \n\n "]:
+        assert list(line_dedup.text_units(text, "clause")) == plain_clauses(text)
+    seen, want = {}, set()
+    for doc, text, *_ in sorted(rows, key=lambda r: r[0]):
+        for k, (start, end, words) in enumerate(plain_clauses(text or "")):
+            if seen.setdefault(tuple(words), (doc, k)) != (doc, k):
+                want.add((doc, k, start, end, seen[tuple(words)][0]))
+    out = line_dedup.repeated_units(helpers.clash(helpers.docs(spark, rows)), min_run_words=0, unit="clause").collect()
+    assert {(r["doc_id"], r["unit"], r["start"], r["end"], r["kept_in"]) for r in out} == want and len(out) == len(want)
+    # All copies of the passage but the first are found by their runs, and nothing else is.
+    runs = line_dedup.repeated_units(helpers.docs(spark, rows), unit="clause").collect()
+    assert {r["doc_id"] for r in runs} == set(range(101, 130))
+    left = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(helpers.docs(spark, rows), unit="clause").collect()}
+    for doc, text, *_ in rows:
+        if doc >= 101:
+            assert not set(map(tuple, (u[2] for u in plain_clauses(passage)))) & set(map(tuple, (u[2] for u in plain_clauses(left[doc]))))
+        else:
+            assert left[doc] == text
+
+
+def test_rows_that_share_an_id_lose_their_own_units_only(spark):
+    session_settings(spark)
+    rng = random.Random(16)
+    a, b, c = (helpers.prose(rng, 48) for _ in range(3))
+    rows = [(1, a, "en", "x", 1), (5, a + "\n" + b, "en", "x", 1), (5, c + "\n" + b, "en", "x", 1), (None, c, "en", "x", 1), (None, c, "en", "x", 1)]
+    left = line_dedup.without_repeats(helpers.docs(spark, rows).coalesce(1)).collect()
+    # Rank: id 1, the first row of id 5, its second row, then the null ids.
+    assert sorted((str(r["doc_id"]), r["text"].strip("\n")) for r in left) == sorted([("1", a), ("5", b), ("5", c), ("None", ""), ("None", "")])
+
+
 def _placed(text):
     at = 0
     for part in text.split("\n"):
