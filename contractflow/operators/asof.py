@@ -2,9 +2,9 @@
 
 A join on the key with a range condition compares every fact of a key with every
 version of that key. For a hot key that is a product of two large numbers in one
-task. Both joins here first find, per key and period, the version that was already
-in force when the period began. Those rows are at most one per key and calendar
-period, so no window ever holds more than the calendar allows.
+task. Both joins here merge facts and versions into one order instead and carry the last version
+forward: by day over rows that the calendar bounds, by time over segments that split a hot key
+(:mod:`.segments`).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .segments import carried_forward, in_segments
+
 UNKNOWN_KEY = "-1"
 
 
@@ -68,44 +70,29 @@ def asof_by_day(facts: DataFrame, dim: DataFrame, keys: Sequence[str], day: str,
 
 def asof_by_time(facts: DataFrame, dim: DataFrame, keys: Sequence[str], timestamp: str, take: Sequence[str], *,
                  effective_from: str = "effective_from", effective_to: str = "effective_to",
-                 period: str = "hour", fact_keys: Sequence[str] | None = None) -> DataFrame:
+                 fact_keys: Sequence[str] | None = None) -> DataFrame:
     """Version in force at the exact ``timestamp`` of each fact, ``[from, to)``.
 
-    Keeps every fact. The facts are joined once, on key and period, to the versions
-    that can matter there: the one carried in and those that start within the period.
-    A hot key is spread over its periods, and a hot key and period is an equi-join
-    partition that adaptive execution can split by rows.
+    Keeps every fact; facts with a NULL key or timestamp find no version. Facts and versions are read once each, into one
+    order of key and time. Of versions that start at one instant the one that holds longest counts, and a version
+    ends no later than the next one starts.
     """
     fact_keys = list(fact_keys or keys)
     jk = [f"_k{i}" for i in range(len(keys))]
-    keyed = facts.withColumns({j: F.col(k) for j, k in zip(jk, fact_keys, strict=True)}).withColumn(
-        "_period", F.date_trunc(period, F.col(timestamp))
-    )
-    content = F.struct(
-        F.col(effective_from).alias("_from"), F.col(effective_to).alias("_to"),
-        *[F.col(c).alias(f"_take_{c}") for c in take],
-    )
-    versions = dim.filter(F.col(effective_from).isNotNull()).select(
-        *[F.col(k).alias(j) for j, k in zip(jk, keys, strict=True)],
-        F.date_trunc(period, F.col(effective_from)).alias("_period"),
-        content.alias("_version"),
-    )
-    last_in_period = versions.groupBy(*jk, "_period").agg(
-        F.max_by("_version", "_version._from").alias("_version")
-    )
-    has_key = " AND ".join(f"{j} IS NOT NULL" for j in [*jk, "_period"])
-    probes = keyed.filter(has_key).select(*jk, "_period").distinct()
-    carried = _carry_forward(probes, last_in_period, jk, "_period", same_period_counts=False)
-    candidates = carried.filter(F.col("_version").isNotNull()).unionByName(versions)
-    c = candidates.select(
-        *[F.col(j).alias(f"_c{j}") for j in [*jk, "_period"]], F.col("_version")
-    )
-    same = [F.col(j) == F.col(f"_c{j}") for j in [*jk, "_period"]]
-    holds = (F.col("_version._from") <= F.col(timestamp)) & (
-        F.col("_version._to").isNull() | (F.col(timestamp) < F.col("_version._to"))
-    )
-    condition = holds
-    for s in same:
-        condition = s & condition
-    joined = keyed.join(c, condition, "left")
-    return joined.select(*facts.columns, *[F.col(f"_version._take_{t}").alias(t) for t in take])
+    content = F.struct(F.col(effective_to).alias("_to"), *[F.col(c).alias(f"_take_{c}") for c in take])
+    filled = " AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, effective_from])
+    open_last = F.coalesce(F.unix_micros(F.col(effective_to).cast("timestamp")), F.lit(2 ** 63 - 1))
+    versions = dim.filter(filled).select(
+        *[F.col(k).alias(j) for j, k in zip(jk, keys, strict=True)], F.col(effective_from).cast("timestamp").alias("_at"),
+        F.lit(0).alias("_side"), open_last.alias("_rank"), content.alias("_version"), F.lit(None).alias("_fact"))
+    # At one instant versions come before facts. The rank of a fact only spreads facts of one key and instant.
+    probes = facts.select(
+        *[F.col(k).alias(j) for j, k in zip(jk, fact_keys, strict=True)], F.col(timestamp).cast("timestamp").alias("_at"),
+        F.lit(1).alias("_side"), F.monotonically_increasing_id().alias("_rank"), F.lit(None).alias("_version"),
+        F.struct(*facts.columns).alias("_fact"))
+    order = ["_at", "_side", "_rank"]
+    merged = in_segments(versions.unionByName(probes), jk, order)
+    found = carried_forward(merged, jk, order, "_version").filter(F.col("_side") == 1)
+    holds = F.col("_at").isNotNull() & (F.col("_version._to").isNull() | (F.col("_at") < F.col("_version._to")))
+    return found.select(*[F.col(f"_fact.{c}").alias(c) for c in facts.columns],
+                        *[F.when(holds, F.col(f"_version._take_{t}")).alias(t) for t in take])

@@ -1,9 +1,10 @@
 """Type 2 dimensions: version history, incremental application, unknown member.
 
 History needs the row before and the row after within a key. A plain window over
-the key would put a hot key into one task, so rows are windowed per key and period,
-and one summary row per key and period carries the state across periods. The number
-of summary rows of a key is bounded by the calendar, not by the data.
+the key would put a hot key into one task, so rows are dealt by ranges of key and start
+(:mod:`.segments`) and windowed inside a segment, and one summary row per key and segment carries the
+state over the borders. A key that fits a segment has one summary row, a hot key one for each
+segment that its rows fill, however they lie in time.
 """
 
 from __future__ import annotations
@@ -16,23 +17,21 @@ from pyspark.sql import functions as F
 from ..contract import Scd2
 from ..functions.keys import surrogate_key
 from .dedup import deduplicate_by_latest
+from .segments import SEGMENT, in_segments
 
 # Start of validity where the source has no change timestamp.
 ORIGIN = "1900-01-01 00:00:00"
 
-_NOW, _PERIOD = "_now", "_period"
+_NOW = "_now"
 
 
-def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[str], period: str) -> DataFrame:
+def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[str]) -> DataFrame:
     """Rows at which a tracked column differs from the row before, with ``_version`` and ``_next``."""
-    # Never NULL: then no filter on it is derived in one branch only, both branches start
-    # from the same exchange, and the source is read and sorted once.
-    start_of_period = F.coalesce(F.date_trunc(period, F.col(ts)), F.lit(ORIGIN).cast("timestamp"))
-    rows = df.withColumn(_PERIOD, start_of_period).withColumn(_NOW, F.struct(*track))
-    group = [*keys, _PERIOD]
-    in_period = Window.partitionBy(*group).orderBy(ts)
+    rows = in_segments(df.withColumn(_NOW, F.struct(*track)), keys, [ts])
+    group = [*keys, SEGMENT]
+    in_segment = Window.partitionBy(*group).orderBy(ts)
     marked = (
-        rows.withColumn("_before", F.lag(_NOW).over(in_period))
+        rows.withColumn("_before", F.lag(_NOW).over(in_segment))
         .withColumn("_first", F.col("_before").isNull())
         .withColumn("_changed", ~F.col("_first") & ~F.col("_before").eqNullSafe(F.col(_NOW)))
     )
@@ -43,9 +42,9 @@ def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[
         F.min(F.when(F.col("_changed"), F.col(ts))).alias("_inner_start"),
         F.sum(F.col("_changed").cast("long")).alias("_inner_changes"),
     )
-    forward = Window.partitionBy(*keys).orderBy(_PERIOD)
+    forward = Window.partitionBy(*keys).orderBy(SEGMENT)
     earlier = forward.rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy(F.desc(_PERIOD)).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc(SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
     last_state = F.lag("_closing").over(forward)
     carried = (
         summary.withColumn("_opens", last_state.isNull() | ~last_state.eqNullSafe(F.col("_opening")))
@@ -60,9 +59,9 @@ def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[
         F.col("_changed") | (F.col("_first") & F.col("_opens"))
     )
     return (
-        points.withColumn("_version", F.col("_offset") + F.row_number().over(in_period))
-        .withColumn("_next", F.coalesce(F.lead(ts).over(in_period), F.col("_next_change")))
-        .drop(_PERIOD, _NOW, "_before", "_first", "_changed", "_opens", "_offset", "_next_change")
+        points.withColumn("_version", F.col("_offset") + F.row_number().over(in_segment))
+        .withColumn("_next", F.coalesce(F.lead(ts).over(in_segment), F.col("_next_change")))
+        .drop(SEGMENT, _NOW, "_before", "_first", "_changed", "_opens", "_offset", "_next_change")
     )
 
 
@@ -94,19 +93,18 @@ def _prepared(df: DataFrame, keys: Sequence[str], spec: Scd2, as_of_origin: str)
     return deduplicate_by_latest(filled, [*keys, start], start), start, attributes
 
 
-def scd2_history(df: DataFrame, keys: Sequence[str], spec: Scd2, *, period: str = "month",
-                 origin: str = ORIGIN) -> DataFrame:
+def scd2_history(df: DataFrame, keys: Sequence[str], spec: Scd2, *, origin: str = ORIGIN) -> DataFrame:
     """All versions from the full change history of a source.
 
     A version starts at a row that differs in a tracked column from the row before,
     keeps the attributes of that row, and ends where the next version starts.
     """
     rows, start, attributes = _prepared(df, keys, spec, origin)
-    points = _change_points(rows, keys, start, spec.track, period)
+    points = _change_points(rows, keys, start, spec.track)
     return with_unknown_member(_finish(points, keys, spec, attributes, start), spec)
 
 
-def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], spec: Scd2, *, period: str = "month",
+def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], spec: Scd2, *,
                origin: str = ORIGIN) -> DataFrame:
     """The dimension after a further batch of source rows.
 
@@ -137,7 +135,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], spec: S
         newer = newer.filter(F.col("_open_from").isNull())
     seeds = opened.select(*attributes, F.col(spec.effective_from).alias(start), base.alias("_base"))
     history = newer.select(*attributes, start, F.coalesce("_base", F.lit(0)).alias("_base")).unionByName(seeds)
-    points = _change_points(history, keys, start, spec.track, period)
+    points = _change_points(history, keys, start, spec.track)
     rebuilt = _finish(points.withColumn("_version", F.col("_version") + F.col("_base")), keys, spec, attributes, start)
     return with_unknown_member(passing.select(*rebuilt.columns).unionByName(rebuilt), spec)
 
