@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -14,10 +16,11 @@ from ..contract import Contract
 from ..operators import dedup, privacy, quality, schema, scd2
 from ..operators.merge import reprocess_slice
 from ..session import apply_settings, scratch_path
-from ..sinks.runlog import RUN_LOG_TABLE, append_run, broken_runs, mark_run, new_run_id, take_files, taken_files
+from ..sinks.claims import LEASE, WRITER
+from ..sinks.runlog import append_run, attempts, new_run_id
 from ..sinks.tables import Tables
 from ..sources.documents import extract_fields, read_documents
-from ..sources.landing import SOURCE_FILE, SOURCE_MTIME, read_incremental, read_landing
+from ..sources.landing import SOURCE_FILE, SOURCE_MTIME, landed_rows, no_rows, read_landing, read_window, stream_landing
 
 STAMP_SOURCE = "_source"
 STAMP_TIME = "_processed_at"
@@ -35,6 +38,7 @@ class RunResult:
     good: int = 0
     quarantined: int = 0
     report: dict = field(default_factory=dict)
+    refused: bool = False  # nothing but quarantine was stored
 
 
 def stamp(df: DataFrame, contract: Contract, run_id: str, now: Column, *, source: Column | None = None,
@@ -97,36 +101,98 @@ def good_and_bad(contract: Contract, inputs: Mapping[str, DataFrame], salt: str
     return privacy.apply_masks(good.drop(*drop), contract, salt), privacy.apply_masks(bad, contract, salt)
 
 
-def resolve_inputs(spark: SparkSession, contract: Contract, tables: Tables,
-                   landing_root: str | None = None) -> dict[str, DataFrame]:
+def resolve_inputs(spark: SparkSession, contract: Contract, tables: Tables, landing_root: str | None = None,
+                   window: tuple[datetime, datetime] | None = None) -> dict[str, DataFrame]:
     """The source and the links of a contract from stored tables or landing files.
 
-    An incremental source also gives ``_files``, the files that it reads.
+    ``window`` limits landing files to the time folders between two moments. Without it an incremental source is not
+    read here, see :func:`_take_new_files`.
     """
     source = contract.source
+    inputs = _links(contract, tables)
     if source.format == "table":
-        inputs = {"source": tables.read(source.path)}
+        inputs["source"] = tables.read(source.path)
+        return inputs
+    path = f"{landing_root or tables.root}/{source.path}"
+    if source.format == "text":
+        inputs["source"] = extract_fields(read_documents(spark, path), contract)
+    elif window:
+        inputs["source"] = read_window(spark, contract, path, *window)
     else:
-        path = f"{landing_root or tables.root}/{source.path}"
-        if source.format == "text":
-            inputs = {"source": extract_fields(read_documents(spark, path), contract)}
-        elif source.load_mode == "incremental":
-            rows, files = read_incremental(spark, contract, path, taken_files(tables, contract.name))
-            inputs = {"source": rows, "_files": files}
-        else:
-            inputs = {"source": read_landing(spark, contract, path)}
-    for name, table in contract.links.items():
-        inputs[name] = tables.read(table)
+        inputs["source"] = read_landing(spark, contract, path)
     return inputs
 
 
-def _already_done(tables: Tables, contract: Contract, run_id: str) -> bool:
-    if not tables.exists(RUN_LOG_TABLE):
-        return False
-    seen = tables.read(RUN_LOG_TABLE).filter(
-        (F.col("contract") == contract.name) & (F.col("run_id") == run_id) & (F.col("status") == "success")
-    )
-    return not seen.isEmpty()
+def _links(contract: Contract, tables: Tables) -> dict[str, DataFrame]:
+    return {name: tables.read(table) for name, table in contract.links.items()}
+
+
+def is_incremental(contract: Contract) -> bool:
+    return contract.source.format in ("csv", "json", "parquet") and contract.source.load_mode == "incremental"
+
+
+def checkpoint_of(tables: Tables, contract: Contract) -> str:
+    """Where it is kept which landing files a contract has taken."""
+    return f"{tables.root}/_checkpoints/{contract.name}"
+
+
+def _take_new_files(spark: SparkSession, contract: Contract, tables: Tables, landing_root: str | None, run_id: str | None,
+                    dry_run: bool, **options) -> RunResult:
+    """Run a contract on the landing files that it has not taken, as a file stream that ends when all are taken.
+
+    A batch of files is a run, named by checkpoint and batch: after a break the same files come again under the same name.
+    Files of a refused or failed run stay in their batch until a run takes them. A dry run works on a copy of the checkpoint.
+    """
+    path, state = f"{landing_root or tables.root}/{contract.source.path}", checkpoint_of(tables, contract)
+    name = hashlib.sha256(state.encode()).hexdigest()[:16]
+    if dry_run:
+        state = _copied(spark, state, scratch_path(spark, "checkpoint"))
+    results: list[RunResult] = []
+    errors: list[Exception] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        own = Tables(session, tables.root)
+        try:
+            inputs = {"source": landed_rows(contract, batch), **_links(contract, own)}
+            result = run_contract(session, contract, own, inputs, run_id=f"{name}-batch-{batch_id}", once=True, dry_run=dry_run,
+                                  pipeline_run_id=run_id, **options)
+        except Exception as error:
+            errors.append(error)
+            raise
+        results.append(result)
+        if result.refused:
+            raise RuntimeError("refused")
+
+    with tables.claims.held(f"{contract.name}-landing", WRITER, wait=2 * LEASE):
+        query = stream_landing(spark, contract, path).writeStream.option("checkpointLocation", state).foreachBatch(handle).trigger(
+            availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except Exception:
+            if errors:
+                raise errors[0] from None
+            if not (results and results[-1].refused):
+                raise
+    if not results:  # nothing new: the run is logged all the same
+        inputs = {"source": no_rows(spark, contract), **_links(contract, tables)}
+        return run_contract(spark, contract, tables, inputs, run_id=run_id, dry_run=dry_run, **options)
+    report: dict = {}
+    for r in results:
+        for k, v in r.report.items():
+            report[k] = (report.get(k, True) and v) if isinstance(v, bool) else max(filter(None, (report.get(k), v)), default=None) if k == "mtime" else (
+                report.get(k, 0) + v)
+    failed = any(r.status == "failed" for r in results)
+    return RunResult(contract.name, contract.layer, "failed" if failed else results[-1].status, sum(r.good for r in results),
+                     sum(r.quarantined for r in results), report, results[-1].refused)
+
+
+def _copied(spark: SparkSession, source: str, target: str) -> str:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if a.getFileSystem(conf).exists(a):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+    return target
 
 
 def materialize(contract: Contract, tables: Tables, good: DataFrame, now: datetime | None = None) -> None:
@@ -157,9 +223,13 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                  inputs: Mapping[str, DataFrame] | None = None, *, landing_root: str | None = None,
                  run_id: str | None = None, salt: str = "", dry_run: bool = False, once: bool = False,
                  reprocess: Mapping | None = None, fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False, fail_on_cast: bool = False,
+                 window: tuple[datetime, datetime] | None = None, pipeline_run_id: str | None = None,
                  now: datetime | None = None) -> RunResult:
     """Execute a contract.
 
+    Without ``inputs`` an incremental landing source gives the files not taken yet, as a file stream; ``window`` reads the
+    time folders between two moments instead, taken or not.
+
     The checked rows are written once to the shared scratch folder, split into good
     and bad. That is the only pass over the source: both outputs and all counts come
     from it, and a lost executor costs at most the tasks it ran. ``reprocess`` limits the
@@ -169,17 +239,22 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     row, and such rows are counted as ``uncast``; with ``fail_on_cast`` they are bad rows.
 
     Whether a run fails for its bad rows is known before anything is stored: a failed run adds to quarantine only.
-    A run that breaks off while it writes is logged as failed, and the next run of the contract, or the same one again, first
-    removes the rows it left, by their run id. Landing files count as taken only once a run has succeeded.
+    While a run writes it holds a claim with a heartbeat. A run that breaks off, by an error or with its driver, leaves its claim,
+    and the next run of the contract, or the same one again, first removes the rows it left, by their run id. Runs at work
+    are left alone: those that append go side by side, those that rewrite the table wait for each other. Stored tables are
+    looked at for old rows only where a claim or the log says that there can be any.
     """
     apply_settings(spark)
+    if inputs is None and window is None and is_incremental(contract):
+        return _take_new_files(spark, contract, tables, landing_root, run_id, dry_run, salt=salt, reprocess=reprocess,
+                               fail_on_quarantine=fail_on_quarantine, fail_on_dataset_rule=fail_on_dataset_rule, fail_on_cast=fail_on_cast, now=now)
     given = run_id is not None
     run_id = run_id or new_run_id()
-    if once and _already_done(tables, contract, run_id):
+    before = attempts(tables, contract.name, [run_id] if given else [])
+    if once and "success" in before.get(run_id, ()):
         return RunResult(contract.name, contract.layer, "skipped")
     started = now or datetime.now(timezone.utc)
-    inputs = dict(inputs or resolve_inputs(spark, contract, tables, landing_root))
-    files = inputs.pop("_files", None)
+    inputs = dict(inputs or resolve_inputs(spark, contract, tables, landing_root, window))
     if reprocess:
         inputs = {**inputs, "source": reprocess_slice(inputs["source"], **reprocess)}
     seen, checked = Observation(), Observation()
@@ -196,7 +271,7 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     plan = plan.withColumn("_bad", F.size(quality.ERRORS) > 0)
     staged = scratch_path(spark, contract.name)
     log = dict(
-        run_id=run_id, pipeline_run_id=run_id, contract=contract.name, contract_version="1.0.0", stage="run", dataset=contract.name,
+        run_id=run_id, pipeline_run_id=pipeline_run_id or run_id, contract=contract.name, contract_version="1.0.0", stage="run", dataset=contract.name,
         domain=contract.domain, data_layer=contract.layer, start_time=started.isoformat(), source_path=contract.source.path)
     try:
         if dry_run:
@@ -211,28 +286,30 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
         report = {}
         refused = bool(fail_on_quarantine and bad_rows)
         if not dry_run:
-            left = broken_runs(tables, contract.name)
-            again = [*left, run_id] if given else left
-            for name in (contract.name, f"quarantine_{contract.name}"):
-                if contract.strategy == "append" or name != contract.name:
-                    tables.forget_runs(name, STAMP_RUN, again)
-            for old in left:
-                mark_run(tables, contract.name, old, "done")
-            mark_run(tables, contract.name, run_id, "begun")
-            rows = spark.read.schema(plan.schema).parquet(staged)
-            drop = (quality.ERRORS, schema.UNKNOWN, "_bad", *([] if counts["uncast"] else [schema.UNCAST]))
-            good = privacy.apply_masks(rows.filter(~F.col("_bad")).drop(*drop), contract, salt)
-            if bad_rows:
-                bad = privacy.apply_masks(rows.filter("_bad").drop("_bad"), contract, salt)
-                tables.append(f"quarantine_{contract.name}", bad)
-            if not refused:
-                materialize(contract, tables, good, started)
-                for keys in contract.unique:
-                    check = quality.unique_report(tables.read(contract.name), keys).first()
-                    report[check["rule"]] = check["passed"]
-                if files is not None and not files.isEmpty():
-                    take_files(tables, contract.name, run_id, files)
-            mark_run(tables, contract.name, run_id, "done")
+            _remove_traces(tables, contract, run_id if given else None, bool(before))
+            with tables.claims.held(contract.name, run_id, wait=2 * LEASE):
+                rows = spark.read.schema(plan.schema).parquet(staged)
+                drop = (quality.ERRORS, schema.UNKNOWN, "_bad", *([] if counts["uncast"] else [schema.UNCAST]))
+                good = privacy.apply_masks(rows.filter(~F.col("_bad")).drop(*drop), contract, salt)
+                if bad_rows:
+                    bad = privacy.apply_masks(rows.filter("_bad").drop("_bad"), contract, salt)
+                    tables.append(f"quarantine_{contract.name}", bad)
+                if not refused:
+                    # A rewrite reads what it replaces, so two of them must not overlap.
+                    with tables.writer(contract.name) if contract.strategy != "append" else nullcontext():
+                        materialize(contract, tables, good, started)
+                    for keys in contract.unique:
+                        check = quality.unique_report(tables.read(contract.name), keys).first()
+                        report[check["rule"]] = check["passed"]
+                failed_rules = [k for k, passed in report.items() if not passed]
+                status = "failed" if refused or (fail_on_dataset_rule and failed_rules) else "success"
+                ended = datetime.now(timezone.utc)
+                # Logged before the claim ends: a run that is in the log needs no cleaning, whatever happens next.
+                append_run(
+                    tables, **log, status=status, end_time=ended.isoformat(), run_duration_seconds=(ended - started).total_seconds(),
+                    error_message=f"{bad_rows} rows failed the checks" if refused else f"broken: {failed_rules}" if status == "failed" else None,
+                    counts_source=counts["source"], counts_total=counts["total"], counts_good=good_rows, counts_quarantined=bad_rows,
+                    quarantine_ratio=bad_rows / counts["total"] if counts["total"] else 0.0, max_source_mtime=counts["mtime"])
     except Exception as error:
         if not dry_run:
             append_run(tables, **log, status="failed", error_message=f"{type(error).__name__}: {error}"[:2000],
@@ -240,22 +317,21 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
         raise
     finally:
         _remove(spark, staged)
-    failed_rules = [k for k, passed in report.items() if not passed]
-    status = "success"
-    if refused or (fail_on_dataset_rule and failed_rules):
-        status = "failed"
-    ended = datetime.now(timezone.utc)
-    if not dry_run:
-        append_run(
-            tables, **log, status=status, end_time=ended.isoformat(),
-            run_duration_seconds=(ended - started).total_seconds(),
-            error_message=f"{bad_rows} rows failed the checks" if refused else f"broken: {failed_rules}" if status == "failed" else None,
-            counts_source=counts["source"], counts_total=counts["total"], counts_good=good_rows,
-            counts_quarantined=bad_rows,
-            quarantine_ratio=bad_rows / counts["total"] if counts["total"] else 0.0,
-            max_source_mtime=counts["mtime"],
-        )
-    return RunResult(contract.name, contract.layer, status, good_rows, bad_rows, {**counts, **report})
+    if dry_run:
+        status = "failed" if refused else "success"
+    return RunResult(contract.name, contract.layer, status, good_rows, bad_rows, {**counts, **report}, refused)
+
+
+def _remove_traces(tables: Tables, contract: Contract, run_id: str | None, logged: bool) -> None:
+    """Remove the rows of runs that have broken off, and of an earlier attempt of this run. Runs at work are not touched."""
+    left = set(tables.claims.broken(contract.name))
+    again = {run_id} if run_id is not None and (tables.claims.wait_until_free(contract.name, run_id) or logged) else set()
+    done = {r for r, statuses in attempts(tables, contract.name, sorted(left - again)).items() if "success" in statuses}
+    for name in (contract.name, f"quarantine_{contract.name}"):
+        if contract.strategy == "append" or name != contract.name:
+            tables.forget_runs(name, STAMP_RUN, sorted((left - done) | again))
+    for old in left - again:
+        tables.claims.release(contract.name, old)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

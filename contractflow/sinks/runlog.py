@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,30 +49,15 @@ def typed_run_log(log: DataFrame) -> DataFrame:
     return log.withColumns({c: F.col(c).try_cast("timestamp") for c in ("timestamp", "start_time", "end_time")})
 
 
-TAKEN_TABLE, OPEN_TABLE = "_taken_files", "_open_runs"
-
-
-def taken_files(tables: Tables, contract: str) -> DataFrame | None:
-    """``file`` and ``mtime`` of the landing files that successful runs of a contract have taken."""
-    return tables.read(TAKEN_TABLE).filter(F.col("contract") == contract) if tables.exists(TAKEN_TABLE) else None
-
-
-def take_files(tables: Tables, contract: str, run_id: str, files: DataFrame) -> None:
-    tables.append(TAKEN_TABLE, files.select(F.lit(contract).alias("contract"), F.lit(run_id).alias("run_id"), "file", "mtime").coalesce(1))
-
-
-def mark_run(tables: Tables, contract: str, run_id: str, event: str) -> None:
-    """``begun`` before a run writes, ``done`` after its last write."""
-    tables.append(OPEN_TABLE, tables.spark.createDataFrame([(contract, run_id, event)], "contract string, run_id string, event string").coalesce(1))
-
-
-def broken_runs(tables: Tables, contract: str) -> list[str]:
-    """Runs of a contract that began to write and never came to their end."""
-    if not tables.exists(OPEN_TABLE):
-        return []
-    own = tables.read(OPEN_TABLE).filter(F.col("contract") == contract)
-    ended = F.max(F.col("event") == "done")
-    return [r["run_id"] for r in own.groupBy("run_id").agg(ended.alias("ended")).filter("not ended").collect()]
+def attempts(tables: Tables, contract: str, runs: Sequence[str]) -> dict[str, set[str]]:
+    """The statuses that the log holds of the given runs of a contract."""
+    if not runs or not tables.exists(RUN_LOG_TABLE):
+        return {}
+    rows = run_log(tables).filter((F.col("contract") == contract) & F.col("run_id").isin(list(runs))).select("run_id", "status").distinct()
+    out: dict[str, set[str]] = {}
+    for r in rows.collect():
+        out.setdefault(r["run_id"], set()).add(r["status"])
+    return out
 
 
 def high_watermark(spark: SparkSession, tables: Tables, contract: str) -> datetime | None:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators.joins import join_composite
 from ..operators.merge import merge_upsert
+from .claims import LEASE, WRITER, Claims
 
 _POINTER = "_current"
 
@@ -26,6 +27,11 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.claims = Claims(spark, self.root)
+
+    def writer(self, name: str):
+        """Held by the one run that may make, widen or rewrite a table; plain appends need no claim."""
+        return self.claims.held(name, WRITER, wait=2 * LEASE)
 
     # -- pointer -------------------------------------------------------------
 
@@ -95,8 +101,11 @@ class Tables:
         """Add rows. New columns widen the schema; older files give NULL for them."""
         current = self._current(name)
         if current is None:
-            self.replace(name, df, partition_by)
-            return
+            with self.writer(name):
+                current = self._current(name)  # two runs may have found no table
+                if current is None:
+                    self.replace(name, df, partition_by)
+                    return
         schema = T.StructType.fromJson(current["schema"])
         known = {f.name: f.dataType for f in schema.fields}
         aligned = df.select(*[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in df.columns])
@@ -104,7 +113,11 @@ class Tables:
             f"{self.root}/{name}/{current['version']}")
         new = [f for f in df.schema.fields if f.name not in known]
         if new:
-            self._switch(name, current["version"], T.StructType([*schema.fields, *new]), current["partition_by"])
+            with self.writer(name):
+                latest = self._known(name)
+                fields = T.StructType.fromJson(latest["schema"]).fields
+                fields += [f for f in new if f.name not in {g.name for g in fields}]
+                self._switch(name, latest["version"], T.StructType(fields), latest["partition_by"])
 
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = (),
               evolution: str = "append") -> None:
@@ -150,11 +163,29 @@ class Tables:
          .partitionBy(*current["partition_by"]).parquet(f"{self.root}/{name}/{current['version']}"))
 
     def forget_runs(self, name: str, column: str, runs: Sequence[str]) -> None:
-        """Drop the rows of the given runs, as what a broken run left behind; a table without such rows is not rewritten."""
-        if runs and self.exists(name) and column in (df := self.read(name)).columns:
-            mine = F.coalesce(F.col(column).isin(list(runs)), F.lit(False))
-            if not df.filter(mine).isEmpty():
-                self.replace(name, df.filter(~mine), self.partition_columns(name))
+        """Drop the rows of the given runs, as what a broken run left behind.
+
+        An append writes files of one run, and files say in their footers which runs they hold, so few are opened. Files of
+        these runs alone are deleted, which leaves what other runs add at the same time untouched; only where they share a
+        file with others, as after compaction, the table is written anew.
+        """
+        if not runs or not self.exists(name) or column not in (df := self.read(name)).columns:
+            return
+        file = F.col("_metadata.file_path")
+        held = df.filter(F.col(column).isin(list(runs))).select(file.alias("file")).distinct()
+        files = [r["file"] for r in held.collect()]
+        if not files:
+            return
+        mine = F.coalesce(F.col(column).isin(list(runs)), F.lit(False))
+        touched = df.withColumn("_file", file).filter(F.col("_file").isin(files))
+        if touched.filter(~mine).isEmpty():
+            for f in files:
+                fs, path = self._fs(f)
+                fs.delete(path, False)
+        else:
+            with self.writer(name):
+                whole = self.read(name)
+                self.replace(name, whole.filter(~mine), self.partition_columns(name))
 
     # -- resets --------------------------------------------------------------
 

@@ -139,23 +139,84 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return out
 
 
-def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``file`` and ``mtime`` of all files below a path; their content is not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
-        F.col("path").alias("file"), F.col("modificationTime").alias("mtime"))
-
-
-def new_files(spark: SparkSession, path: str, taken: DataFrame | None) -> DataFrame:
-    """Files that no earlier run has taken as they are now: by name and time of change, never by time alone."""
-    found = listing(spark, path)
-    return found if taken is None else found.join(taken.select("file", "mtime"), ["file", "mtime"], "left_anti")
-
-
-def read_incremental(spark: SparkSession, contract: Contract, path: str, taken: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Landing rows of the files not taken yet, and those files."""
-    rows = new_files(spark, path, taken).collect()
-    files = spark.createDataFrame([tuple(r) for r in rows], "file string, mtime timestamp")
-    if rows:
-        return read_landing(spark, contract, [r["file"] for r in rows]), files
-    empty = ", ".join(f"`{n}` string" for n in contract.field_names)
-    return spark.createDataFrame([], f"{empty}, {SOURCE_FILE} string, {SOURCE_MTIME} timestamp"), files
+def _by_header(contract: Contract) -> bool:
+    options = {"header": "true", **contract.source.options}
+    return contract.source.format == "csv" and all(
+        str(options.get(k, d)).lower() == d for k, d in (("header", "true"), ("multiLine", "false")))
+
+
+def stream_landing(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
+    """The files below a path as a stream that takes each once, whenever it lands and whatever its time says.
+
+    What has been taken is known to the checkpoint of the query, not to the driver of a run. A landed file must not change. CSV
+    files that are bound by header come as lines, see :func:`landed_rows`; other CSV files by position.
+    """
+    source = contract.source
+    # A file that is older than the newest one by this much would be left out; nothing should be.
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", source.options.get("maxFileAge", "36500d"))
+    options = {k: v for k, v in source.options.items() if k != "maxFileAge"}
+    if _by_header(contract):
+        limits = {k: v for k, v in options.items() if k.startswith("maxFiles") or k == "lineSep"}
+        lines = reader.options(**limits).format("text").load(path)
+        return lines.select("value", F.col("_metadata.file_block_start").alias("_block"), *_file_columns())
+    if source.format == "csv":
+        df = reader.schema(text_schema(contract)).options(**{"header": "true", "enforceSchema": "false", **options}).csv(path)
+    elif source.format == "json":
+        df = reader.schema(text_schema(contract)).options(**{"multiLine": "true", **options}).json(path)
+    elif source.format == "parquet":
+        df = reader.schema(spark.read.option("recursiveFileLookup", "true").parquet(path).schema).options(**options).parquet(path)
+    else:
+        raise ValueError(f"{contract.name}: not a landing format: {source.format}")
+    return df.select("*", *_file_columns())
+
+
+def _file_columns() -> list[Column]:
+    return [F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(SOURCE_MTIME)]
+
+
+def landed_rows(contract: Contract, batch: DataFrame) -> DataFrame:
+    """Rows of a micro-batch of :func:`stream_landing`.
+
+    Lines of CSV files are bound by the header of their file. The distinct headers are collected, the files are not: a line
+    finds its header by a join on the file.
+    """
+    if not _by_header(contract):
+        return batch
+    options = {"mode": "PERMISSIVE", **{k: v for k, v in contract.source.options.items() if k not in ("header", "maxFileAge")}}
+    lines = batch.withColumn("_at", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    heads = lines.where("_block = 0").groupBy(SOURCE_FILE).agg(F.min_by("value", "_at").alias("_head"))
+    known = {n.lower(): n for n in contract.field_names}
+    headers = sorted(r["_head"] for r in heads.select("_head").distinct().collect())
+    joined = lines.join(heads, SOURCE_FILE).where((F.col("_block") > 0) | (F.col("value") != F.col("_head")))
+    parts = []
+    for head in headers:
+        found = next(csv.reader([head.lstrip("\ufeff")], delimiter=options.get("sep", options.get("delimiter", ",")), quotechar=options.get("quote", '"')))
+        names = [known.get(n.strip().lower(), n.strip()) for n in found]
+        if len({n.lower() for n in names}) < len(names):
+            raise ValueError(f"a column name twice in the header {names}")
+        schema = ", ".join(f"`{n}` string" for n in names)
+        row = F.from_csv("value", F.lit(schema), options)
+        parts.append(joined.where(F.col("_head") == head).select(row.alias("_row"), SOURCE_FILE, SOURCE_MTIME).select(
+            "_row.*", SOURCE_FILE, SOURCE_MTIME))
+    if not parts:
+        return no_rows(batch.sparkSession, contract)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def no_rows(spark: SparkSession, contract: Contract) -> DataFrame:
+    none = ", ".join(f"`{n}` string" for n in contract.field_names)
+    return spark.createDataFrame([], f"{none}, {SOURCE_FILE} string, {SOURCE_MTIME} timestamp")
+
+
+def with_folder_columns(df: DataFrame, contract: Contract) -> DataFrame:
+    """``_year``, ``_month``, ``_day`` and ``_hour`` of the time folders that a row's file lies in, as far as the contract has them."""
+    parts = folder_columns(contract.source.partition_format, F.col(SOURCE_FILE))
+    return df.withColumns({f"_{n}": c for n, c in parts.items()})
+
+
+def read_window(spark: SparkSession, contract: Contract, path: str, start: datetime, end: datetime) -> DataFrame:
+    """Landing rows of the time folders between two moments; other folders are not even listed."""
+    if not contract.source.partition_format:
+        raise ValueError(f"{contract.name} has no time folders")
+    paths = existing(spark, folder_globs(path, contract.source.partition_format, start, end))
+    return read_landing(spark, contract, paths) if paths else no_rows(spark, contract)

@@ -389,3 +389,102 @@ def test_erasure_reaches_hashes_and_quarantine(spark, tables):
     report = erase_subjects(tables, [requests], "rider_id", ["r1"], strategy="nullify", salt="s")
     assert [(r["rows_touched"], r["applied"]) for r in report] == [(1, True), (1, True)]
     assert tables.read(f"quarantine_{requests.name}").filter("_uncast is null").count() == 1
+
+
+def _appending(spark):
+    contract = CONTRACTS["silver_trips"].with_(strategy="append", unique=())
+    schema = ", ".join(f"{c} string" for c in contract.field_names)
+    return contract, lambda *ids: {"source": spark.createDataFrame([tuple(_trip(i).values()) for i in ids], schema)}
+
+
+def test_a_run_at_work_is_not_taken_for_a_broken_one(spark, tables, monkeypatch):
+    """Two interleaved runs, the second begun and ended between the write and the end of the first, keep all rows."""
+    from contractflow.plans import pipeline
+
+    contract, rows = _appending(spark)
+    plain = pipeline.materialize
+
+    def slow(c, t, good, now):
+        plain(c, t, good, now)
+        if not t.read(c.name).filter("trip_id = 't2'").count():
+            with monkeypatch.context() as m:
+                m.setattr("contractflow.plans.pipeline.materialize", plain)
+                assert run_contract(spark, contract, tables, rows(2)).status == "success"
+
+    monkeypatch.setattr("contractflow.plans.pipeline.materialize", slow)
+    assert run_contract(spark, contract, tables, rows(1)).status == "success"
+    assert sorted(r["trip_id"] for r in tables.read(contract.name).collect()) == ["t1", "t2"]
+    assert tables.claims.broken(contract.name) == []
+
+
+def test_a_run_whose_heart_has_stopped_is_cleaned_up_without_a_rewrite(spark, tables):
+    """A driver that died leaves a claim and rows; files of other runs stay as they are. A run in the log is not undone."""
+    from contractflow.sinks.claims import Claims
+
+    contract, rows = _appending(spark)
+    for run, key in (("kept", 1), ("died", 2), ("logged", 3)):
+        run_contract(spark, contract, tables, rows(key), run_id=run)
+    log = tables.read("_run_log").filter("run_id <> 'died'").collect()
+    tables.replace("_run_log", spark.createDataFrame(log, tables.read("_run_log").schema))
+    past = Claims(spark, tables.root, clock=lambda: 0.0)
+    for run in ("died", "logged"):
+        past._create(past._path(contract.name, run), past._content("live"))
+    before = {r["f"] for r in tables.read(contract.name).filter("trip_id <> 't2'").select(F.col("_metadata.file_path").alias("f")).collect()}
+    path = tables.path(contract.name)
+    assert run_contract(spark, contract, tables, rows(4)).status == "success"
+    assert sorted(r["trip_id"] for r in tables.read(contract.name).collect()) == ["t1", "t3", "t4"]
+    after = {r["f"] for r in tables.read(contract.name).select(F.col("_metadata.file_path").alias("f")).collect()}
+    assert before < after and tables.path(contract.name) == path and tables.claims.broken(contract.name) == []
+
+
+def test_only_one_of_many_takes_a_claim(spark, tables):
+    from concurrent.futures import ThreadPoolExecutor
+
+    claims, inside, most = tables.claims, [], []
+
+    def work(i):
+        with claims.held("t", "_writer", wait=60):
+            inside.append(i)
+            most.append(len(inside))
+            inside.remove(i)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(work, range(12)))
+    assert most == [1] * 12
+    with claims.held("t", "x"):
+        with pytest.raises(RuntimeError), claims.held("t", "x"):
+            pass
+        assert claims.broken("t") == []
+    with pytest.raises(KeyError), claims.held("t", "y"):
+        raise KeyError
+    assert claims.broken("t") == ["y"]
+
+
+def test_refused_files_stay_in_their_batch_and_dry_runs_take_none(spark, tables, tmp_path):
+    bronze = CONTRACTS["bronze_driver_telemetry"].with_(strategy="append")
+    from contractflow.contract import Rule
+
+    strict = bronze.with_(rules=(Rule("driver", "driver_id <> 'bad'"),))
+    root = tmp_path / "landing" / bronze.source.path
+    root.mkdir(parents=True)
+    (root / "a.csv").write_text("telemetry_id,driver_id\nt1,d1\nt2,bad\n")
+    run = lambda c, **kw: run_contract(spark, c, tables, landing_root=str(tmp_path / "landing"), **kw)
+    assert run(strict, dry_run=True).quarantined == 1 and not tables.exists(bronze.name)
+    first = run(strict, fail_on_quarantine=True)
+    assert (first.status, first.refused) == ("failed", True) and not tables.exists(bronze.name)
+    (root / "b.csv").write_text("driver_id,telemetry_id\nd3,t3\n")
+    assert run(bronze, dry_run=True).good == 3
+    assert run(bronze).good == 3 and run(bronze).good == 0
+    assert sorted(r["telemetry_id"] for r in tables.read(bronze.name).collect()) == ["t1", "t2", "t3"]
+
+
+def test_a_run_reads_the_time_folders_of_its_window_only(spark, tables, tmp_path):
+    root = str(tmp_path / "landing")
+    for hour in ("03", "04", "05"):
+        _trips(root, [_trip(int(hour))], folder=f"y_2024/m_01/d_02/h_{hour}")
+    bronze = CONTRACTS["bronze_trip_completed"]
+    window = (dt.datetime(2024, 1, 2, 4), dt.datetime(2024, 1, 2, 5))
+    assert run_contract(spark, bronze, tables, landing_root=root, window=window).good == 2
+    assert sorted(r["trip_id"] for r in tables.read(bronze.name).collect()) == ["t4", "t5"]
+    rows = landing.with_folder_columns(landing.read_window(spark, bronze, f"{root}/trip_completed", *window), bronze)
+    assert {(r["_year"], r["_hour"]) for r in rows.collect()} == {(2024, 4), (2024, 5)}
