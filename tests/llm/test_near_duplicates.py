@@ -262,6 +262,20 @@ def test_passages_are_found_in_spite_of_replaced_tokens(spark):
     assert decontaminate.overlaps(helpers.docs(spark, []), spark.createDataFrame(items, helpers.ITEMS)).count() == 0
 
 
+def test_every_fourth_token_replaced(spark):
+    """Wherever the replaced tokens start, some mask passes over all of them."""
+    session_settings(spark)
+    rng = random.Random(17)
+    items = [(i, helpers.prose(rng, rng.randint(40, 60))) for i in range(8)]
+    rows = []
+    for i in range(8):
+        part = items[i][1].split()
+        part[i % 4::4] = ["other"] * len(part[i % 4::4])
+        rows.append((100 + i, helpers.prose(rng, 50) + " " + " ".join(part) + " " + helpers.prose(rng, 50), "en", "a", 1))
+    out = decontaminate.overlaps(helpers.docs(spark, rows), spark.createDataFrame(items, helpers.ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == {(100 + i, i) for i in range(8)}
+
+
 def test_given_tables_against_all_windows(spark):
     """Every document that shares thirteen tokens in a row with an item is found, and no other."""
     folder = "/root/testdata/sf0.001"
