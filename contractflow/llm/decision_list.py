@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .base import query, read
 
 #: At most so many labelled rows are used to learn, those with the lowest hash of their id.
@@ -184,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
     """Rules from the labelled documents; ids and labels of the sample (at most ``sample_rows``) are sent to all tasks."""
     chosen = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample_rows)
-    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("_text")).join(
-        F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    # Stored, so that statistics are made of the sample alone: a condition on them would else be tried on every document first.
+    rows = stage(docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("_text")).join(
+        F.broadcast(chosen), F.col("_doc") == F.col("_id")), "labelled")
     of = features()
     stats = with_statistics(rows, "_text").where(~base_failed()).select(
         "_id", "_label", *[v.alias(k) for k, v in of.items()]).orderBy(F.xxhash64("_id"), "_id", *of).limit(sample_rows).collect()
