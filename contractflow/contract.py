@@ -75,6 +75,7 @@ class Scd2:
     version: str | None = None
     change_reason: str | None = None
     unknown_member: str | None = "-1"
+    buckets: int = 0  # the stored table is cut by a hash of the key, and open versions are kept apart; 0: one whole
 
 
 # A transform receives {"source": df, <link name>: df, ...} and returns a DataFrame.

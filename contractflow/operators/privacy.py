@@ -81,10 +81,11 @@ def mark_subjects(df: DataFrame, id_column: str, ids: Sequence | DataFrame, salt
     )
 
 
-def erasure_report(tables: Mapping[str, DataFrame], id_column: str, ids: Sequence | DataFrame) -> DataFrame:
-    """Rows that an erasure would touch, per table that holds the id column."""
+def erasure_report(tables: Mapping[str, DataFrame], id_column: str, ids: Sequence | DataFrame,
+                   salts: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Rows that an erasure would touch, per table that holds the id column. ``salts`` has those of each table that holds hashed ids."""
     parts = [
-        mark_subjects(df.select(id_column), id_column, ids).agg(
+        mark_subjects(df.select(id_column), id_column, ids, (salts or {}).get(name)).agg(
             F.lit(name).alias("table_name"), F.count_if(F.col("_subject")).alias("rows_touched")
         )
         for name, df in tables.items()

@@ -136,19 +136,28 @@ def quality_gate(runs: DataFrame, slo: QualitySlo, severity: str | None = "sever
 
 
 def schedule(runs: DataFrame, slo: ScheduleSlo) -> DataFrame:
-    """Whether runs started, ended and took as long as planned."""
+    """Whether runs started, ended and took as long as planned.
 
-    def planned(text: str, after: str | None = None) -> Column:
-        """That time on the day of the start; on the next day where it would lie before ``after``."""
+    A run belongs to the planned start that is nearest to its own, so one planned for 23:50 that starts at 00:10 is late by
+    twenty minutes, and one that starts some minutes early is not late by a day.
+    """
+
+    def on_day_of(moment: Column, text: str, days: int = 0) -> Column:
         hours, minutes = (int(x) for x in text.split(":"))
-        next_day = after is not None and text < after
-        return F.date_trunc("day", "start_time") + F.make_dt_interval(F.lit(int(next_day)), F.lit(hours), F.lit(minutes))
+        return F.date_trunc("day", moment) + F.make_dt_interval(F.lit(days), F.lit(hours), F.lit(minutes))
 
+    start, half = F.col("start_time"), F.expr("INTERVAL 12 HOURS")
+    same_day = on_day_of(start, slo.expected_start)
+    planned_start = (
+        F.when(start > same_day + half, on_day_of(start, slo.expected_start, 1))
+        .when(start < same_day - half, on_day_of(start, slo.expected_start, -1)).otherwise(same_day)
+    )
+    planned_end = on_day_of(planned_start, slo.expected_completion, int(slo.expected_completion < slo.expected_start))
     taken = (F.unix_micros("end_time") - F.unix_micros("start_time")) / 60_000_000.0
     return (
         runs.withColumn("duration_minutes", taken)
-        .withColumn("started_late", F.date_trunc("minute", "start_time") > planned(slo.expected_start))
-        .withColumn("finished_late", F.date_trunc("minute", "end_time") > planned(slo.expected_completion, slo.expected_start))
+        .withColumn("started_late", F.date_trunc("minute", "start_time") > planned_start)
+        .withColumn("finished_late", F.date_trunc("minute", "end_time") > planned_end)
         .withColumn("over_expected", F.col("duration_minutes") > slo.expected_minutes)
         .withColumn("over_warning", F.col("duration_minutes") > slo.warn_minutes)
     )

@@ -9,11 +9,11 @@ from ..contract import Scd2
 from ..functions.calendar import calendar_columns
 
 DRIVER = Scd2(
-    surrogate_key="driver_sk", timestamp="updated_at", version="version_number",
+    surrogate_key="driver_sk", timestamp="updated_at", version="version_number", buckets=16,
     track=("licence_plate", "vehicle_type", "city_code", "status", "licence_number"),
 )
 RIDER = Scd2(
-    surrogate_key="rider_sk", timestamp="updated_at",
+    surrogate_key="rider_sk", timestamp="updated_at", buckets=16,
     track=("city_code", "home_address", "status", "preferred_payment_method"),
 )
 CITY = Scd2(

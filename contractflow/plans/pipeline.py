@@ -204,21 +204,53 @@ def materialize(contract: Contract, tables: Tables, good: DataFrame, now: dateti
             raise ValueError(f"{contract.name}: merge needs a primary key")
         tables.merge(contract.name, good, contract.primary_key, contract.partition_by, contract.evolution)
     elif contract.strategy == "scd2":
-        keys, spec = list(contract.primary_key), contract.scd2
-        if not tables.exists(contract.name) or tables.read(contract.name).isEmpty():
-            dim = scd2.scd2_history(good, keys, spec)
-        elif spec.timestamp:
-            dim = scd2.scd2_apply(tables.read(contract.name), good, keys, spec)
-        else:
-            today = (now or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
-            dim = scd2.scd2_snapshot_apply(tables.read(contract.name), good, keys, spec, today)
-        tables.replace(contract.name, dim, contract.partition_by)
+        _materialize_scd2(contract, tables, good, now)
     elif contract.strategy == "overwrite":
         tables.replace(contract.name, good, contract.partition_by)
     else:
         raise ValueError(f"{contract.name}: unknown strategy {contract.strategy}")
 
 
+BUCKET = "_bucket"
+
+
+def _materialize_scd2(contract: Contract, tables: Tables, good: DataFrame, now: datetime | None) -> None:
+    """Apply rows to a type 2 table. In a bucketed table only the buckets of the rows' keys are read and written; each has its
+    open versions in a folder of their own, which is what a reader of the current state opens. The unknown member has a bucket to itself."""
+    keys, spec, name = list(contract.primary_key), contract.scd2, contract.name
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(max(spec.buckets, 1))).cast("int")
+
+    def stored(dim: DataFrame) -> tuple[DataFrame, list[str]]:
+        if not spec.buckets:
+            return dim, list(contract.partition_by)
+        own = F.lit(False) if spec.unknown_member is None else F.col(spec.surrogate_key) == spec.unknown_member
+        parts = [BUCKET, spec.current_flag]
+        dim = dim.withColumn(BUCKET, F.when(own, -1).otherwise(bucket))
+        return dim.repartition(*parts), parts
+
+    if not tables.exists(name) or tables.read(name).isEmpty():
+        dim, parts = stored(scd2.scd2_history(good, keys, spec))
+        tables.replace(name, dim, parts)
+        return
+    known = tables.read(name)
+    by_bucket = bool(spec.buckets) and tables.partition_columns(name) == [BUCKET, spec.current_flag] and not set(good.columns) - set(known.columns)
+    if by_bucket:
+        touched = good.select(bucket.alias(BUCKET)).distinct()
+        known = known.join(touched, BUCKET, "left_semi")
+    known = known.drop(BUCKET)
+    if spec.timestamp:
+        dim = scd2.scd2_apply(known, good, keys, spec)
+    else:
+        today = (now or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
+        dim = scd2.scd2_snapshot_apply(known, good, keys, spec, today)
+    dim, parts = stored(dim)
+    if by_bucket:
+        # A key always has an open version, and versions are never dropped, so no folder can become empty.
+        tables.overwrite_partitions(name, dim)
+    else:
+        tables.replace(name, dim, parts)
+
+
 def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                  inputs: Mapping[str, DataFrame] | None = None, *, landing_root: str | None = None,
                  run_id: str | None = None, salt: str = "", dry_run: bool = False, once: bool = False,

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators.joins import join_composite
 from ..operators.merge import merge_upsert
+from ..operators.zorder import z_value
 from .claims import LEASE, WRITER, Claims
 
 _POINTER = "_current"
@@ -202,17 +203,24 @@ class Tables:
         fs, pointer = self._fs(f"{self.root}/{name}/{_POINTER}")
         fs.delete(pointer, False)
 
-    def compact(self, name: str, target_files: int, cluster_by: Sequence[str] = ()) -> None:
+    def compact(self, name: str, target_files: int, cluster_by: Sequence[str] = (), zorder_by: Sequence[str] = ()) -> None:
         """Rewrite into fewer files, sorted by the columns that queries filter on.
 
-        Range partitioning splits by sampled values, so a frequent value of the first
-        column is spread by the next ones. A partitioned table is clustered by its
+        ``cluster_by`` sorts by one column after the other, so files hold a narrow span of the first; with ``zorder_by`` they hold a
+        narrow span of each column, so that a filter on any of them skips files. Range partitioning splits by sampled values, so a
+        frequent value of the first column is spread by the next ones. A partitioned table is clustered by its
         partition columns first, so that each task writes few files.
         """
-        df, parts = self.read(name), self._known(name)["partition_by"]
-        cluster_by = [*parts, *cluster_by]
-        if cluster_by:
-            df = df.repartitionByRange(target_files, *cluster_by).sortWithinPartitions(*cluster_by)
-        else:
-            df = df.repartition(target_files)
-        self.replace(name, df, parts)
+        if cluster_by and zorder_by:
+            raise ValueError("cluster by columns or by their z-order, not both")
+        with self.writer(name):
+            df, parts = self.read(name), self._known(name)["partition_by"]
+            columns = df.columns
+            order = [*parts, *cluster_by]
+            if zorder_by:
+                df, order = df.withColumn("_z", z_value(df, zorder_by)), [*parts, "_z", *zorder_by]
+            if order:
+                df = df.repartitionByRange(target_files, *order).sortWithinPartitions(*order).select(*columns)
+            else:
+                df = df.repartition(target_files)
+            self.replace(name, df, parts)

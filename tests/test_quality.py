@@ -54,3 +54,33 @@ def test_rule_pass_is_one_scan(spark):
     checks = [quality.rule_check(Rule(f"r{i}", f"v > {i}")) for i in range(5)]
     plan = quality.annotate(df, checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1 and "Exchange" not in plan
+
+
+def test_schedule_over_midnight(spark):
+    import datetime as dt
+
+    from contractflow.operators import slo
+
+    runs = spark.createDataFrame([(n, dt.datetime.fromisoformat(a), dt.datetime.fromisoformat(b)) for n, a, b in [
+        ("late", "2024-01-02 00:10:00", "2024-01-02 00:40:00"), ("early", "2024-01-01 23:40:00", "2024-01-02 00:20:00"),
+        ("on time", "2024-01-01 23:50:30", "2024-01-02 01:01:00"), ("next", "2024-01-02 23:51:00", "2024-01-03 00:59:00")]],
+        "name string, start_time timestamp, end_time timestamp")
+    out = slo.schedule(runs, slo.ScheduleSlo("23:50", "01:00", 60, 90))
+    assert {r["name"]: (r["started_late"], r["finished_late"]) for r in out.collect()} == {
+        "late": (True, False), "early": (False, False), "on time": (False, True), "next": (True, False)}
+    early = slo.schedule(runs.limit(0), slo.ScheduleSlo("00:10", "01:00", 60, 90))
+    assert early.count() == 0
+    before = spark.createDataFrame([("x", dt.datetime(2024, 1, 1, 23, 55), dt.datetime(2024, 1, 2, 0, 30))], runs.schema)
+    (r,) = slo.schedule(before, slo.ScheduleSlo("00:10", "01:00", 60, 90)).collect()
+    assert (r["started_late"], r["finished_late"]) == (False, False)
+
+
+def test_erasure_report_counts_hashed_ids(spark):
+    from contractflow.functions.masks import mask_hash
+    from contractflow.operators import privacy
+    from pyspark.sql import functions as F
+
+    plain = spark.createDataFrame([("a",), ("a",), ("b",)], "id string")
+    hashed = plain.select(mask_hash(F.col("id"), "pepper").alias("id"))
+    out = privacy.erasure_report({"plain": plain, "hashed": hashed}, "id", ["a"], {"hashed": ["", "pepper"]})
+    assert {r["table_name"]: r["rows_touched"] for r in out.collect()} == {"plain": 2, "hashed": 2}

@@ -209,3 +209,54 @@ def test_release_report(spark):
     assert {(r["table_name"], r["assertion"], r["passed"]) for r in report.collect()} == {
         ("a", "exists", True), ("a", "has_rows", True), ("a", "has_columns", False), ("b", "exists", False),
         ("c", "exists", True), ("c", "has_rows", False)}
+
+
+def test_z_order_lets_a_filter_on_either_column_skip_files(spark, tables):
+    rows = [(i * 7919 % 1000, f"k{i * 104729 % 997:04d}", i) for i in range(4000)] + [(None, None, -1)]
+    tables.replace("t", spark.createDataFrame(rows, "a int, b string, n int"))
+
+    def files_for(column, value):
+        spans = tables.read("t").groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(column).alias("low"), F.max(column).alias("high")).collect()
+        return sum(r["low"] is not None and r["low"] <= value <= r["high"] for r in spans), len(spans)
+
+    tables.compact("t", 16, zorder_by=["a", "b"])
+    assert sorted(map(repr, tables.read("t").collect())) == sorted(repr(r) for r in spark.createDataFrame(rows, "a int, b string, n int").collect())
+    for column, value in (("a", 500), ("b", "k0500")):
+        touched, files = files_for(column, value)
+        assert files >= 12 and touched <= files / 2
+    tables.compact("t", 16, cluster_by=["a", "b"])
+    touched, files = files_for("b", "k0500")
+    assert touched > files / 2
+    with pytest.raises(ValueError):
+        tables.compact("t", 16, ["a"], ["b"])
+
+
+def test_a_batch_of_one_key_rewrites_one_bucket_of_a_type_2_table(spark, tables):
+    from contractflow.contract import Contract, Scd2, fields
+    from contractflow.plans.pipeline import materialize
+
+    spec = Scd2("sk", track=("a",), timestamp="ts", version="v", buckets=8)
+    contract = Contract("dim", "gold", "d", fields("k:long!", "a", "ts:timestamp"), primary_key=("k",), strategy="scd2", scd2=spec)
+    whole = contract.with_(name="whole", scd2=Scd2("sk", track=("a",), timestamp="ts", version="v"))
+
+    def batch(*rows):
+        df = spark.createDataFrame([(k, a, dt.datetime(2024, 1, d)) for k, a, d in rows], "k long, a string, ts timestamp")
+        for c in (contract, whole):
+            materialize(c, tables, df)
+
+    def files():
+        return {r["f"] for r in tables.read("dim").select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+
+    batch(*[(k, "x", 1) for k in range(200)])
+    before = files()
+    batch((5, "y", 2))
+    after = files()
+    bucket = tables.read("dim").filter("k = 5").first()["_bucket"]
+    assert {f.split("_bucket=")[1].split("/")[0] for f in before ^ after} <= {str(bucket), "-1"}
+    assert len(before & after) >= 7
+    batch((5, "z", 3), (300, "n", 3), (6, "x", 4))
+    columns = tables.read("whole").columns
+    rows = lambda name: sorted(map(repr, tables.read(name).select(columns).collect()))
+    assert rows("dim") == rows("whole") and tables.read("dim").filter("sk = '-1'").count() == 1
+    plan = tables.read("dim").filter("is_current")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_current" in plan
