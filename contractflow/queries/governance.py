@@ -209,10 +209,10 @@ def slo_quality(lake: Lake):
 
 @query("slo_schedule", f"""
     SELECT contract, day, (epoch_us(end_time) - epoch_us(start_time)) / 60000000.0 AS duration_minutes,
-           hour(start_time) * 60 + minute(start_time) > 60 AS started_late,
-           hour(end_time) * 60 + minute(end_time) > 1420 AS finished_late,
+           date_trunc('minute', start_time) > planned AS started_late,
+           date_trunc('minute', end_time) > planned + INTERVAL 1360 MINUTE AS finished_late,
            run_duration_seconds / 60.0 > 1300 AS over_expected, run_duration_seconds / 60.0 > 1400 AS over_warning
-    FROM ({_RUNS_SQL})
+    FROM (SELECT *, date_trunc('day', start_time + INTERVAL 11 HOUR) + INTERVAL 1 HOUR AS planned FROM ({_RUNS_SQL}))
 """)
 def slo_schedule(lake: Lake):
     out = slo.schedule(_runs(lake), slo.ScheduleSlo("01:00", "23:40", 1300, 1400))
