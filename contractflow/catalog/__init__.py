@@ -12,6 +12,18 @@ _ALL = (
     *shared.GOLD,
 )
 
-CONTRACTS: dict[str, Contract] = {c.name: c for c in _ALL}
+# The source systems of a domain; the first is that of tables which name none.
+SYSTEMS = {
+    "marketplace": ("rideflow",), "payments": ("stripe",), "marketing": ("google_ads", "google_analytics", "hubspot", "meta_ads"),
+    "operations": ("zendesk", "checkr", "twilio"), "reference": ("internal",), "shared": ("shared",),
+}
 
-__all__ = ["CONTRACTS"]
+
+def _system(contract: Contract) -> str:
+    systems = SYSTEMS[contract.domain]
+    return next((s for s in systems if f"_{s}_" in contract.name), systems[0])
+
+
+CONTRACTS: dict[str, Contract] = {c.name: c.with_(system=_system(c)) for c in _ALL}
+
+__all__ = ["CONTRACTS", "SYSTEMS"]

@@ -80,29 +80,31 @@ SILVER = (
 
 _TRIPS = "silver_trips"
 
+_STRICT = dict(evolution="strict")  # of products that a transform builds; the landed inferences may lack optional columns
+
 GOLD = (
     gold("dim_driver", D, """driver_id! name email phone licence_number licence_plate vehicle_type city_code status
         rating:float signup_date:date updated_at:timestamp""", "silver_driver_profiles", key="driver_id",
         natural_key="driver_id effective_from", strategy="scd2", scd2=dimensions.DRIVER, unique=("driver_sk",),
-        pii=("name", "email", "phone", "licence_number")),
+        pii=("name", "email", "phone", "licence_number"), **_STRICT),
     gold("dim_rider", D, """rider_id! name email phone home_address city_code status preferred_payment_method
         signup_date:date updated_at:timestamp""", "silver_rider_profiles", key="rider_id",
         natural_key="rider_id effective_from", strategy="scd2", scd2=dimensions.RIDER, unique=("rider_sk",),
-        pii=("name", "email", "phone", "home_address")),
+        pii=("name", "email", "phone", "home_address"), **_STRICT),
     gold("fact_trip_daily_kpis", D, """kpi_date:date! city_code total_trips:integer total_revenue:float
         total_distance_km:float avg_fare:float avg_surge:float""", _TRIPS, key="kpi_date city_code", partition_by=("kpi_date",),
         links={"silver_trips_full": _TRIPS},
-        transform=lambda i: facts.trip_daily_kpis(i["silver_trips_full"], i["source"])),
+        transform=lambda i: facts.trip_daily_kpis(i["silver_trips_full"], i["source"]), **_STRICT),
     gold("dim_driver_scorecard", D, """driver_id! driver_sk total_trips:integer total_earnings:float
         avg_driver_rating:float avg_distance_km:float avg_duration_minutes:float""", _TRIPS, key="driver_id",
         links={"silver_trips_full": _TRIPS, "dim_driver": "gold_dim_driver"},
         fks={"driver_sk": "gold_dim_driver.driver_sk"},
-        transform=lambda i: facts.driver_scorecard(i["silver_trips_full"], i["dim_driver"], i["source"])),
+        transform=lambda i: facts.driver_scorecard(i["silver_trips_full"], i["dim_driver"], i["source"]), **_STRICT),
     gold("fact_rider_daily_metrics", D, """rider_sk! rider_id! activity_date:date! daily_trips:integer
         daily_spend:float daily_tips:float avg_daily_rating:float""", _TRIPS, key="rider_id activity_date", partition_by=("activity_date",),
         links={"silver_trips_full": _TRIPS, "dim_rider": "gold_dim_rider"},
         fks={"rider_sk": "gold_dim_rider.rider_sk"},
-        transform=lambda i: facts.rider_daily_metrics(i["silver_trips_full"], i["dim_rider"], i["source"])),
+        transform=lambda i: facts.rider_daily_metrics(i["silver_trips_full"], i["dim_rider"], i["source"]), **_STRICT),
     gold("fact_surge_pricing_inference", D, """inference_id! model_version! city_code demand_index:float
         surge_multiplier:float! timestamp:timestamp!""", Source("parquet", "surge_inference_landing"),
         key="inference_id", unique=("inference_id",), registered=False,

@@ -1,5 +1,6 @@
 """Service levels, budgets, retention and erasure by domain. All values are fixed values."""
 
+from ..operators.service_levels import Levels
 from ..operators.slo import AnomalySlo, Budget, QualitySlo, RowCountSlo, ScheduleSlo
 
 FRESHNESS_MINUTES = {
@@ -10,13 +11,27 @@ FRESHNESS_MINUTES = {
     "reference": {"bronze": 1440, "silver": 1440, "gold": 999_999},
     "shared": {"gold": 999_999},
 }
-SOURCE_CHECK_COLUMNS = ("updated_at", "last_modified", "event_timestamp", "created_at")
+SOURCE_DELAY_MINUTES = {
+    "marketplace": {"bronze": 60, "silver": 180},
+    "payments": {"bronze": 120, "silver": 300},
+    "marketing": {"bronze": 240, "silver": 480},
+    "operations": {"bronze": 120, "silver": 360},
+    "reference": {"bronze": 2880},
+}
 
-MAX_ROWS = {"marketplace": 500_000, "payments": 200_000, "marketing": 100_000, "operations": 100_000,
-            "reference": 100_000}
-ROW_COUNTS = {domain: RowCountSlo(1, limit) for domain, limit in MAX_ROWS.items()} | {
-    "shared": RowCountSlo(1, None)}
+ROW_COUNTS = {
+    "marketplace": {"bronze": RowCountSlo(1, 500_000), "silver": RowCountSlo(10, 500_000)},
+    "payments": {"bronze": RowCountSlo(1, 200_000), "silver": RowCountSlo(1, 200_000)},
+    "marketing": {"bronze": RowCountSlo(1, 100_000), "silver": RowCountSlo(1, 100_000)},
+    "operations": {"bronze": RowCountSlo(1, 100_000), "silver": RowCountSlo(1, 100_000)},
+    "reference": {"bronze": RowCountSlo(1, 100_000, warn_only=True), "silver": RowCountSlo(1, 100_000, warn_only=True)},
+    "shared": {"gold": RowCountSlo(1, None, warn_only=True)},
+}
 ANOMALY = AnomalySlo()
+ANOMALY_DOMAINS = ("marketplace", "payments", "marketing", "operations")
+ANOMALY_LAYERS = ("bronze", "silver")
+SCHEDULED_ENVIRONMENTS = ("dev", "prod", "staging")
+CURRENCY = "GBP"
 
 
 def _severity(critical: float, high: float, medium: float, low: float) -> dict[str, float]:
@@ -52,3 +67,14 @@ RETENTION = {
     "reference": {"bronze": "P30D", "silver": "P7Y", "gold": "P7Y"},
     "shared": {"gold": "P7Y"},
 }
+
+
+LEVELS = {
+    (domain, layer): Levels(
+        freshness_minutes=FRESHNESS_MINUTES[domain].get(layer),
+        source_delay_minutes=SOURCE_DELAY_MINUTES.get(domain, {}).get(layer),
+        row_count=ROW_COUNTS[domain].get(layer),
+        anomaly=ANOMALY if domain in ANOMALY_DOMAINS and layer in ANOMALY_LAYERS else None,
+        quality=QUALITY[domain], schedule=SCHEDULE[domain], environments=SCHEDULED_ENVIRONMENTS, budget=BUDGET[domain])
+    for domain in QUALITY for layer in ("bronze", "silver", "gold")
+}

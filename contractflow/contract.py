@@ -21,6 +21,9 @@ SPARK_TYPES: Mapping[str, T.DataType] = {
     "boolean": T.BooleanType(),
 }
 
+# Columns that may tell when a row of a source last changed.
+CHANGE_COLUMNS = ("updated_at", "last_modified", "event_timestamp", "created_at")
+
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -106,6 +109,8 @@ class Contract:
     cast_to_string: bool = False
     partition_by: tuple[str, ...] = ()
     registered: bool = True
+    system: str = ""
+    change_columns: tuple[str, ...] = CHANGE_COLUMNS  # the first that exists tells how new the source is
 
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)

@@ -38,6 +38,18 @@ def annotate(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     return df.withColumn(ERRORS, errors)
 
 
+def bad_by_severity(rules: Sequence[Rule]) -> Column:
+    """An aggregate: rows that break a rule, by severity of the rules they break. Checks of the schema count as ``high``."""
+    named: dict[str, list[str]] = {}
+    for r in rules:
+        named.setdefault(r.severity, []).append(r.name)
+    others = [n for s, names in named.items() if s != "high" for n in names]
+    broken = F.transform(ERRORS, lambda e: e["rule"])
+    hit = {"high": F.size(F.array_except(broken, F.array(*map(F.lit, others)).cast("array<string>")))}
+    hit |= {s: F.size(F.array_intersect(broken, F.array(*map(F.lit, names)))) for s, names in named.items() if s != "high"}
+    return F.struct(*[F.count_if(n > 0).alias(s) for s, n in hit.items()])
+
+
 def split(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without helper columns, bad rows with their errors)."""
     good = annotated.filter(F.size(ERRORS) == 0).drop(ERRORS)

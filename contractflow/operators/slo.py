@@ -189,12 +189,16 @@ def budget_report(costed: DataFrame, budget: Budget, *, scale: int = 6) -> DataF
     )
 
 
+def usual_cost(costed: DataFrame, *, by: str = "contract", order: Sequence[str] = ("start_time",), lookback: int = 14) -> DataFrame:
+    """Add the median cost of the runs before each run."""
+    window = Window.partitionBy(by).orderBy(*order).rowsBetween(-lookback, -1)
+    return costed.withColumn("usual_cost", F.percentile("estimated_cost", 0.5).over(window))
+
+
 def cost_anomalies(costed: DataFrame, budget: Budget, *, by: str = "contract",
                    order: Sequence[str] = ("start_time",), lookback: int = 14) -> DataFrame:
     """Runs that cost more than a multiple of the median of the runs before."""
-    window = Window.partitionBy(by).orderBy(*order).rowsBetween(-lookback, -1)
-    usual = F.percentile("estimated_cost", 0.5).over(window)
-    return costed.withColumn("usual_cost", usual).filter(
+    return usual_cost(costed, by=by, order=order, lookback=lookback).filter(
         F.col("estimated_cost") > budget.run_multiplier * F.col("usual_cost")
     )
 

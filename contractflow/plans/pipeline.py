@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import time
 from collections.abc import Iterable, Mapping
 from contextlib import nullcontext
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import Contract
-from ..operators import dedup, privacy, quality, schema, scd2
+from ..operators import dedup, privacy, quality, schema, scd2, service_levels
 from ..operators.merge import reprocess_slice
 from ..session import apply_settings, scratch_path
 from ..sinks.claims import LEASE, WRITER
@@ -238,6 +240,8 @@ def _materialize_scd2(contract: Contract, tables: Tables, good: DataFrame, now:
         touched = good.select(bucket.alias(BUCKET)).distinct()
         known = known.join(touched, BUCKET, "left_semi")
     known = known.drop(BUCKET)
+    if contract.evolution == "strict":
+        schema.evolve(known, good, "strict")
     if spec.timestamp:
         dim = scd2.scd2_apply(known, good, keys, spec)
     else:
@@ -256,9 +260,13 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                  run_id: str | None = None, salt: str = "", dry_run: bool = False, once: bool = False,
                  reprocess: Mapping | None = None, fail_on_quarantine: bool = False, fail_on_dataset_rule: bool = False, fail_on_cast: bool = False,
                  window: tuple[datetime, datetime] | None = None, pipeline_run_id: str | None = None,
-                 now: datetime | None = None) -> RunResult:
+                 now: datetime | None = None, environment: str = "dev",
+                 levels: Mapping[tuple[str, str], service_levels.Levels] | None = None) -> RunResult:
     """Execute a contract.
 
+    The log row of the run has its cost, the newest change in its source, the bad rows by severity of the broken rules and, where
+    ``levels`` are given by (domain, layer), how it stands against them. ``now`` is the moment the run is taken to start at.
+
     Without ``inputs`` an incremental landing source gives the files not taken yet, as a file stream; ``window`` reads the
     time folders between two moments instead, taken or not.
 
@@ -279,13 +287,14 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     apply_settings(spark)
     if inputs is None and window is None and is_incremental(contract):
         return _take_new_files(spark, contract, tables, landing_root, run_id, dry_run, salt=salt, reprocess=reprocess,
-                               fail_on_quarantine=fail_on_quarantine, fail_on_dataset_rule=fail_on_dataset_rule, fail_on_cast=fail_on_cast, now=now)
+                               fail_on_quarantine=fail_on_quarantine, fail_on_dataset_rule=fail_on_dataset_rule, fail_on_cast=fail_on_cast, now=now,
+                               environment=environment, levels=levels)
     given = run_id is not None
     run_id = run_id or new_run_id()
     before = attempts(tables, contract.name, [run_id] if given else [])
     if once and "success" in before.get(run_id, ()):
         return RunResult(contract.name, contract.layer, "skipped")
-    started = now or datetime.now(timezone.utc)
+    started, clock = now or datetime.now(timezone.utc), time.monotonic()
     inputs = dict(inputs or resolve_inputs(spark, contract, tables, landing_root, window))
     if reprocess:
         inputs = {**inputs, "source": reprocess_slice(inputs["source"], **reprocess)}
@@ -297,6 +306,7 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
         checked, F.count(F.lit(1)).alias("total"),
         F.count_if(F.size(quality.ERRORS) == 0).alias("good"), mtime.alias("mtime"),
         F.count(F.col(schema.UNCAST) if schema.UNCAST in plan.columns else F.lit(None)).alias("uncast"),
+        _newest_change(contract, plan).alias("changed"), quality.bad_by_severity(contract.rules).alias("bad_by_severity"),
     )
     source_column = F.col(SOURCE_FILE) if from_files else None
     plan = stamp(plan, contract, run_id, F.lit(started), source=source_column).drop(*_HELPERS)
@@ -304,7 +314,7 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     staged = scratch_path(spark, contract.name)
     log = dict(
         run_id=run_id, pipeline_run_id=pipeline_run_id or run_id, contract=contract.name, contract_version="1.0.0", stage="run", dataset=contract.name,
-        domain=contract.domain, data_layer=contract.layer, start_time=started.isoformat(), source_path=contract.source.path)
+        domain=contract.domain, system=contract.system or None, environment=environment, data_layer=contract.layer, start_time=started.isoformat(), source_path=contract.source.path)
     try:
         if dry_run:
             plan.write.format("noop").mode("overwrite").save()
@@ -314,6 +324,7 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
             counts = {"source": inputs["source"].count(), **checked.get}
         else:
             counts = {"source": seen.get["rows"], **checked.get}
+        changed, bad_by_severity = counts.pop("changed"), counts.pop("bad_by_severity").asDict()
         good_rows, bad_rows = counts["good"], counts["total"] - counts["good"]
         report = {}
         refused = bool(fail_on_quarantine and bad_rows)
@@ -335,17 +346,20 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
                         report[check["rule"]] = check["passed"]
                 failed_rules = [k for k, passed in report.items() if not passed]
                 status = "failed" if refused or (fail_on_dataset_rule and failed_rules) else "success"
-                ended = datetime.now(timezone.utc)
+                seconds = time.monotonic() - clock
                 # Logged before the claim ends: a run that is in the log needs no cleaning, whatever happens next.
                 append_run(
-                    tables, **log, status=status, end_time=ended.isoformat(), run_duration_seconds=(ended - started).total_seconds(),
+                    tables, levels, **log, status=status, end_time=(started + timedelta(seconds=seconds)).isoformat(), run_duration_seconds=seconds,
+                    max_watermark_value=None if changed is None else changed.isoformat(),
+                    report_json=json.dumps({"bad_by_severity": bad_by_severity, "uncast": counts["uncast"], "dataset_rules": report}),
                     error_message=f"{bad_rows} rows failed the checks" if refused else f"broken: {failed_rules}" if status == "failed" else None,
                     counts_source=counts["source"], counts_total=counts["total"], counts_good=good_rows, counts_quarantined=bad_rows,
                     quarantine_ratio=bad_rows / counts["total"] if counts["total"] else 0.0, max_source_mtime=counts["mtime"])
     except Exception as error:
         if not dry_run:
+            seconds = time.monotonic() - clock
             append_run(tables, **log, status="failed", error_message=f"{type(error).__name__}: {error}"[:2000],
-                       end_time=datetime.now(timezone.utc).isoformat())
+                       end_time=(started + timedelta(seconds=seconds)).isoformat(), run_duration_seconds=seconds)
         raise
     finally:
         _remove(spark, staged)
@@ -354,6 +368,12 @@ def run_contract(spark: SparkSession, contract: Contract, tables: Tables,
     return RunResult(contract.name, contract.layer, status, good_rows, bad_rows, {**counts, **report}, refused)
 
 
+def _newest_change(contract: Contract, plan: DataFrame) -> Column:
+    """The newest value of the first change column, as far as it is a moment."""
+    name = next((c for c in contract.change_columns if c in plan.columns), None)
+    return F.max(F.col(name).try_cast("timestamp")) if name else F.max(F.lit(None).cast("timestamp"))
+
+
 def _remove_traces(tables: Tables, contract: Contract, run_id: str | None, logged: bool) -> None:
     """Remove the rows of runs that have broken off, and of an earlier attempt of this run. Runs at work are not touched."""
     left = set(tables.claims.broken(contract.name))

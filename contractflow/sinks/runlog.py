@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import service_levels
 from .tables import Tables
 
 # The columns of the run log.
@@ -29,14 +30,17 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def append_run(tables: Tables, **values) -> None:
-    """Add one row; unnamed columns stay NULL."""
+def append_run(tables: Tables, levels: Mapping[tuple[str, str], service_levels.Levels] | None = None, **values) -> None:
+    """Add one row; unnamed columns stay NULL. Cost follows from duration and layer, ``slo_json`` from the levels of the row's domain and layer."""
     unknown = set(values) - set(RUN_LOG_COLUMNS)
     if unknown:
         raise ValueError(f"not run log columns: {sorted(unknown)}")
     values.setdefault("engine", "spark")
     values.setdefault("timestamp", datetime.now(timezone.utc).isoformat())
     row = tables.spark.createDataFrame([tuple(values.get(c) for c in RUN_LOG_COLUMNS)], RUN_LOG_SCHEMA)
+    row = service_levels.with_cost(row)
+    if levels:
+        row = row.withColumn("slo_json", F.to_json(service_levels.run_checks(levels)))
     tables.append(RUN_LOG_TABLE, row.coalesce(1))
 
 

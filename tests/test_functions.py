@@ -108,7 +108,7 @@ def test_anomaly_needs_enough_runs(spark):
 def test_row_count_and_quality_policies(spark):
     runs = spark.createDataFrame([(0, 0, "low"), (10, 1, "low"), (10, 1, "critical"), (600_000, 0, None)],
                                  "counts_good int, counts_quarantined int, severity string")
-    status = [r["row_count_status"] for r in slo.row_count(runs, policies.ROW_COUNTS["marketplace"]).collect()]
+    status = [r["row_count_status"] for r in slo.row_count(runs, policies.ROW_COUNTS["marketplace"]["bronze"]).collect()]
     assert status == ["fail", "ok", "ok", "fail"]
     warn = slo.row_count(runs, slo.RowCountSlo(1, None, warn_only=True)).collect()
     assert [r["row_count_status"] for r in warn] == ["warn", "ok", "ok", "ok"]
