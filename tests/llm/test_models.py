@@ -7,10 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from contractflow.llm import QUERIES, kneser_ney, mixing_lm, toxicity
 from contractflow.llm.base import settings as session_settings
+from contractflow.session import stage
 
 import helpers
 
@@ -227,3 +229,32 @@ def test_toxicity_on_odd_rows(spark):
         out = toxicity.score(docs, lexicon).collect()
         assert len(out) == len(helpers.odd_rows()) and all(0 <= r["score"] <= 1 for r in out)
     assert toxicity.score(helpers.docs(spark, []), lexicon).count() == 0
+
+
+def test_bounds_are_own_quantiles_where_a_language_has_enough_documents(spark):
+    """Two languages: with quantiles that need 10 documents the common one keeps its own tails, the rare one may take wider ones."""
+    rng = random.Random(5)
+    words = ["river", "stone", "apple", "light", "green", "house", "paper", "cloud"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(3, 30))), "xx" if i < 400 else "yy", "s") for i in range(420)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    out = {r["doc_id"]: r for r in kneser_ney.classify(docs, labels, quantiles=(0.1, 0.9), shard_rows=200).collect()}
+    held = [math.log(out[i]["perplexity"]) for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0]
+    low, high = np.quantile(held, [0.1, 0.9])
+    assert len(held) >= 10
+    assert math.log(out[0]["low"]) == pytest.approx(low, rel=1e-9) and math.log(out[0]["high"]) == pytest.approx(high, rel=1e-9)
+    rare = [math.log(out[i]["perplexity"]) for i in range(400, 420) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert rare and math.log(out[400]["low"]) <= np.quantile(rare, 0.1) + 1e-9 and math.log(out[400]["high"]) >= np.quantile(rare, 0.9) - 1e-9
+
+
+def test_kneser_ney_model_has_no_join_without_a_key(spark, monkeypatch):
+    plans = []
+
+    def seen(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, purpose)
+
+    monkeypatch.setattr(kneser_ney, "stage", seen)
+    model = kneser_ney.train(spark.createDataFrame([(1, "some text of a few words")], "doc_id long, text string"))
+    assert model.where("n = 1").count() > 0 and len(plans) > kneser_ney.ORDER
+    assert not [p for p in plans if "CartesianProduct" in p or "NestedLoop" in p]
