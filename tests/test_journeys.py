@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,18 @@ def test_ranges(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_ranges_are_dealt_by_pairs(spark):
+    """Few bytes, many pairs: tasks follow the pairs, a crowded bin is cut, and NULLs and copies stay whole."""
+    values = [(i % 200, None if i % 10 == 0 else 5.0 if i % 2 else i % 97 / 1.0) for i in range(600)]
+    bounds = [(i, float(i % 30), float(i % 30 + 40)) for i in range(90)]
+    facts, table = spark.createDataFrame(values, "i int, v double").coalesce(1), spark.createDataFrame(bounds, "r int, a double, b double")
+    want = Counter((i, r) for i, v in values for r in [n for n, a, b in bounds if v is not None and a <= v < b] or [None])
+    out = ranges.range_lookup(facts, table, "v", "a", "b", ["r"], pairs_a_task=500)
+    assert Counter((r["i"], r["r"]) for r in out.collect()) == want
+    made = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(made) > 20 and max(made) < sum(want.values()) / 8
+
+
 def test_currencies(spark):
     day = dt.date(2024, 1, 1)
     rates = [(day, "EUR", "USD", 1.25), (day, "USD", "JPY", 128.0), (day, "GBP", "USD", 1.5), (day, "USD", "EUR", 0.5),
