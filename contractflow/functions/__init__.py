@@ -1,7 +1,7 @@
 """Column helpers: masks, keys, exact sums, calendar parts, text classification."""
 
 from .calendar import calendar_columns, date_key, older_than, parse_period
-from .keys import surrogate_key
+from .keys import packed, surrogate_key, unpacked
 from .masks import REDACTED, mask_hash, mask_nullify, mask_redact
 from .numeric import ratio, total
 from .text import OrderedRules, TextRule, classify, joined_lower_text, score_lookup
@@ -18,9 +18,11 @@ __all__ = [
     "mask_nullify",
     "mask_redact",
     "older_than",
+    "packed",
     "parse_period",
     "ratio",
     "score_lookup",
     "surrogate_key",
     "total",
+    "unpacked",
 ]

@@ -27,7 +27,7 @@ _NOW = "_now"
 
 def _change_points(df: DataFrame, keys: Sequence[str], ts: str, track: Sequence[str]) -> DataFrame:
     """Rows at which a tracked column differs from the row before, with ``_version`` and ``_next``."""
-    rows = in_segments(df.withColumn(_NOW, F.struct(*track)), keys, [ts])
+    rows = in_segments(df, keys, [ts]).withColumn(_NOW, F.struct(*track))
     group = [*keys, SEGMENT]
     in_segment = Window.partitionBy(*group).orderBy(ts)
     marked = (

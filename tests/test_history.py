@@ -176,6 +176,17 @@ def test_asof_with_clashing_names_and_versions_that_do_not_hold(spark):
         0: "a", 1: None, 2: "b", 3: None, 4: "c", 5: None, 6: None, 7: None, 8: None, 9: None}
 
 
+def test_asof_carries_hex_keys_in_half_their_size(spark):
+    """Strings come back as they were: digests, other hex, capitals, odd lengths, empty and NULL."""
+    notes = ["ab" * 32, "0f", "0F", "abc", "", None, "no hex", "-1", "é"]
+    dim = spark.createDataFrame([(i, BASE, None, n) for i, n in enumerate(notes)], "k int, effective_from timestamp, effective_to timestamp, note string")
+    facts = spark.createDataFrame([(i, BASE) for i in range(len(notes) + 1)], "k int, at timestamp")
+    out = asof.asof_by_time(facts, dim, ["k"], "at", ["note"])
+    assert {r["k"]: r["note"] for r in out.collect()} == dict(enumerate([*notes, None])) and out.schema["note"].dataType.simpleString() == "string"
+    merged = [row for f in out.inputFiles() for row in spark.read.parquet(f).where("_side = 0").collect()]
+    assert {bytes(r["_version"]["_take_note"]["digest"]) for r in merged if r["_version"]["_take_note"]["digest"] is not None} == {b"\xab" * 32, b"\x0f", b""}
+
+
 def test_hot_key_in_one_month_is_spread_evenly(spark, many_segments):
     """A key with a third of all rows, all in one hour: no segment holds much more than its share, and the history is right."""
     rows = [(0, BASE + dt.timedelta(milliseconds=i * 1000), "x" if i % 3 else "y", 0, i) for i in range(1600)]
