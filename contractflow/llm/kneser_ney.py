@@ -1,7 +1,7 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of byte n-grams, trained on trusted text.
 
 Byte n-grams need no vocabulary: junk is strange in its letters, marks and spacing, and new words of good prose are not. Trusted
-documents are those with a good label (at most ``TRUSTED_DOCS``, those with the lowest hash of their id). Four fifths of them train
+documents are all those with a good label. Four fifths of them train
 the model; the others give, for each language, the quantiles of perplexity between which a document is kept. A quantile ``q`` needs
 ``1 / q`` documents to have one beyond it (``1 / (1 - q)`` above): a language with so many of the other fifth is judged by its own, and one with fewer by
 the distance that the quantiles of all languages have from their medians, if that is wider.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -32,7 +32,6 @@ from .base import pieces, query, read, utf8
 from .tokens import mix
 
 ORDER = 5
-TRUSTED_DOCS = 40_000
 SHARD_ROWS = 4_000_000
 QUANTILES = (0.002, 0.995)
 PAD = b"\n" * (ORDER - 1)
@@ -56,13 +55,35 @@ def gram_counts(docs: DataFrame, text: str) -> DataFrame:
     """The longest n-grams ``g`` and their counts ``c``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in pieces(batches, 500):
-            g, c = np.unique(grams(utf8(batch.column(0)), ORDER)[0][-1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["g", "c"])
+            held.append(np.unique(grams(utf8(batch.column(0)), ORDER)[0][-1], return_counts=True))
+            rows += len(held[-1][0])
+            if rows > 2_000_000:
+                held = [_added(held)]
+                rows = len(held[0][0])
+                if rows > 1_000_000:
+                    yield _batch(*held.pop())
+                    rows = 0
+        if held:
+            yield _batch(*_added(held))
 
     return docs.select(text).mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts by n-gram."""
+    g, c = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(g, kind="stable")  # runs in order are merged
+    g, c = g[order], c[order]
+    first = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
+    return g[first], np.add.reduceat(c, first) if len(g) else c
+
+
+def _batch(g: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["g", "c"])
+
+
 def _discounts(counts: DataFrame) -> list[float]:
     """Of n-grams seen once, twice, and more often."""
     n = dict(counts.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect())
@@ -218,23 +239,50 @@ def perplexity(docs: DataFrame, model: list, text: str = "text") -> DataFrame:
                       F.exp(-F.col("_p") / F.greatest(F.col("n_bytes"), F.lit(1))).alias("perplexity"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, trusted_docs: int = TRUSTED_DOCS, quantiles: tuple[float, float] = QUANTILES,
+def exact_quantiles(rows: DataFrame, by: str, value: str, wanted: dict[str, float], cells: int = 1000) -> DataFrame:
+    """A row a group: the number of its rows, and the quantiles, interpolated as ``percentile`` does.
+
+    Rows are counted in cells of ``1 / cells`` first; only values of the cells that hold a wanted place are put in order, so no
+    group is held whole.
+    """
+    values = rows.groupBy(by, value).agg(F.count("*").alias("_n")).withColumn("_cell", F.floor(F.col(value) * cells))
+    group = Window.partitionBy(by)
+    counts = values.groupBy(by, "_cell").agg(F.sum("_n").alias("_here")).withColumns({
+        "held": F.sum("_here").over(group),
+        "_upto": F.sum("_here").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))})
+    place = {k: (F.col("held") - 1) * F.lit(float(q)) for k, q in wanted.items()}
+    ends = {k: (F.floor(p), F.ceil(p)) for k, p in place.items()}
+    hit = F.lit(False)
+    for r in (r for pair in ends.values() for r in pair):
+        hit = hit | ((F.col("_upto") > r) & (F.col("_upto") - F.col("_here") <= r))
+    at = counts.where(hit).select(F.col(by).alias("_by"), F.col("_cell").alias("_hit"), "held", (F.col("_upto") - F.col("_here")).alias("_before"))
+    near = values.join(at, F.col(by).eqNullSafe(F.col("_by")) & F.col("_cell").eqNullSafe(F.col("_hit")))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_by", "_hit").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    found = near.withColumn("_upto", upto).groupBy("_by", "held").agg(*[
+        F.min(F.when(F.col("_upto") > r, F.col(value))).alias(f"_{k}{i}") for k, pair in ends.items() for i, r in enumerate(pair)])
+
+    def between(k: str):
+        low, high, (a, b) = F.col(f"_{k}0"), F.col(f"_{k}1"), ends[k]
+        return F.when(low == high, low).otherwise((b - place[k]) * low + (place[k] - a) * high)
+
+    return found.select(F.col("_by").alias(by), "held", *[between(k).alias(k) for k in wanted])
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantiles: tuple[float, float] = QUANTILES,
              shard_rows: int = SHARD_ROWS, id_col: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "quality") -> DataFrame:
     """Perplexity of every document, the bounds of its language, and whether it is ``kept``."""
     spark = docs.sparkSession
-    chosen = labels.where((F.col(label) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct().orderBy(
-        F.xxhash64("_id"), "_id").limit(trusted_docs)
+    good = labels.where((F.col(label) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
     trusted = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).join(
-        F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+        good.hint("merge"), F.col("_doc") == F.col("_id"))  # the set of ids has no bound, so no plan may rest on sending it to all tasks
     fifth = F.crc32(F.col("_id").cast("string").cast("binary")) % 5
     model = [(spark.sparkContext.broadcast(rows), s, n) for rows, s, n in model_shards(train(trusted.where(fifth != 0), "_text"), shard_rows)]
-    held = stage(perplexity(trusted.where(fifth == 0).select("_lang", "_text"), model, "_text"), "calibration")
-    held = held.where("n_bytes > 0").withColumn("_x", F.log("perplexity"))
-    tails = lambda c: [F.percentile(c, q).alias(k) for q, k in zip(quantiles, ("low", "high"))]
-    by_lang = held.groupBy(F.col("_lang").alias("_of")).agg(F.count("*").alias("held"), F.percentile("_x", 0.5).alias("mid"), *tails("_x"))
-    apart = held.join(by_lang.select("_of", "mid"), F.col("_lang").eqNullSafe(F.col("_of")))
-    pooled = apart.agg(*tails(F.col("_x") - F.col("mid"))).first()
-    everywhere = held.agg(*tails("_x")).first()
+    held = perplexity(trusted.where(fifth == 0).select("_lang", "_text"), model, "_text")
+    held = stage(held.where("n_bytes > 0").select("_lang", F.log("perplexity").alias("_x")), "calibration")
+    tails = dict(zip(("low", "high"), quantiles))
+    by_lang = stage(exact_quantiles(held, "_lang", "_x", {"mid": 0.5, **tails}), "quantiles").withColumnRenamed("_lang", "_of")
+    apart = held.join(by_lang.select("_of", "mid"), F.col("_lang").eqNullSafe(F.col("_of"))).select((F.col("_x") - F.col("mid")).alias("_x"))
+    pooled, everywhere = (exact_quantiles(rows.withColumn("_lang", F.lit(0)), "_lang", "_x", tails).first() or dict.fromkeys(tails) for rows in (apart, held))
     enough = [F.col("held") >= math.ceil(round(1 / q, 6)) for q in (quantiles[0], 1 - quantiles[1])]
     wide = [F.col("mid") + F.lit(pooled[k]).cast("double") for k in ("low", "high")]
     by_lang = by_lang.where("_of is not null").select(

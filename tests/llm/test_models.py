@@ -159,6 +159,28 @@ def kn_twin(texts, order):
     return p
 
 
+def test_kneser_ney_learns_from_every_trusted_document(spark):
+    """No bound on trusted documents, and quantiles that are exact without holding a group."""
+    docs = spark.range(41_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    counts = []
+    train = kneser_ney.train
+    try:
+        kneser_ney.train = lambda d, text="text": (counts.append(d.count()), train(d, text))[1]
+        kneser_ney.classify(docs, labels)
+    finally:
+        kneser_ney.train = train
+    assert counts == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(41_000))]
+    rows = [(None if i % 3 == 0 else "ab"[i % 2], float(x)) for i, x in enumerate(np.random.default_rng(2).normal(size=700).round(2))] + [("one", 4.0)]
+    values = spark.createDataFrame(rows, "g string, x double")
+    wanted = {"low": 0.002, "mid": 0.5, "high": 0.995}
+    got = {r["g"]: r for r in kneser_ney.exact_quantiles(values, "g", "x", wanted, cells=3).collect()}
+    want = values.groupBy("g").agg(F.count("*").alias("held"), *[F.percentile("x", q).alias(k) for k, q in wanted.items()]).collect()
+    assert len(got) == len(want) == 4
+    for r in want:
+        assert got[r["g"]]["held"] == r["held"] and all(got[r["g"]][k] == pytest.approx(r[k], abs=1e-12) for k in wanted)
+
+
 def test_kneser_ney_by_brute_force_and_in_shards(spark):
     session_settings(spark)
     rng = random.Random(3)
