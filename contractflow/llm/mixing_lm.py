@@ -18,8 +18,8 @@ which the rest of the training documents lack. ``score`` is the log probability
 ``bits_per_byte`` pays for their spelling too. Which tokens training had is read from a Bloom filter of fixed size; where it
 errs, a new token is paid as if it were spelled, so the score never gains by it.
 
-A slot of a table belongs to one context: a check byte tells it from others with the same slot, and contexts of more frequent
-tokens come first. So rare tokens cannot blur what is known of frequent ones, however many there are.
+A slot of a table belongs to one context: a check byte tells it from others with the same slot. All training tokens claim slots, and the
+most frequent token gets one. So rare tokens fill what others leave, and cannot blur what is known of frequent ones, however many there are.
 
 Only the tables (five of ``2**TABLE_BITS`` entries), and the counts of at most ``HEAD`` frequent tokens go to all tasks; their size does not grow.
 Counts of rarer tokens are joined by a shuffle of just their occurrences. Documents are never shuffled.
@@ -191,12 +191,53 @@ def byte_counts(counts: DataFrame) -> np.ndarray:
     return out.reshape(256, 256)
 
 
-def owners(frequent: list[bytes], code: Code) -> np.ndarray:
-    """Check bytes of the contexts that own the slots; ``frequent`` has the most frequent token last. 0: nobody's."""
-    out = np.zeros((K, 1 << TABLE_BITS), np.uint8)
-    for _, slots, check, _ in steps(frequent, code):
+def owners(counts: DataFrame, code: Code, words_a_task: int = 4_000_000) -> np.ndarray:
+    """Check bytes of the contexts that own the slots, of all tokens: in each slot that of the most frequent token. 0: nobody's.
+
+    A task claims slots for its words in a table of fixed size; blocks of these are compared by number.
+    """
+    size = 1 << TABLE_BITS
+    parts = max(1, -(-counts.count() // words_a_task))
+
+    def claim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((K, size), np.uint32)
+        for batch in batches:
+            found, c = batch.column(0).to_pylist(), np.minimum(batch.column(1).to_numpy(), (1 << 24) - 2).astype(np.uint32)
+            c[[w == NEW_TOKEN for w in found]] = (1 << 24) - 1
+            done = 0
+            for n, slots, check, _ in steps(found, code):
+                claims = np.repeat(c[done:done + len(n)] << np.uint32(8), n)
+                done += len(n)
+                for k in range(K):
+                    np.maximum.at(table[k], slots[k], claims | check[k])
         for k in range(K):
-            out[k][slots[k]] = check[k]  # the last one stays
+            for i in range(0, size, _BLOCK):
+                if table[k, i:i + _BLOCK].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([i // _BLOCK], pa.int32()), pa.array(
+                        [zlib.compress(table[k, i:i + _BLOCK].tobytes(), 1)], pa.binary())], ["k", "block", "data"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, most = None, None
+
+        def done():
+            checks = zlib.compress((most & np.uint32(255)).astype(np.uint8).tobytes(), 1)
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([checks], pa.binary())],
+                                              ["k", "block", "data"])
+
+        for batch in batches:
+            for k, b, data in zip(*[batch.column(i) for i in range(3)]):
+                if (k.as_py(), b.as_py()) != key:
+                    if key:
+                        yield done()
+                    key, most = (k.as_py(), b.as_py()), np.zeros(_BLOCK, np.uint32)
+                most = np.maximum(most, np.frombuffer(zlib.decompress(data.as_py()), np.uint32))
+        if key:
+            yield done()
+
+    schema, out = "k int, block int, data binary", np.zeros((K, size), np.uint8)
+    claims = counts.select("word", "c").coalesce(parts).mapInArrow(claim, schema)
+    for r in claims.repartition("k", "block").sortWithinPartitions("k", "block").mapInArrow(settle, schema).toLocalIterator():  # fixed size
+        out[r["k"], r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r["data"]), np.uint8)
     return out
 
 
@@ -304,6 +345,33 @@ def inputs(found: list[bytes], t: Tables, owner: np.ndarray) -> tuple[np.ndarray
     return np.cumsum(np.concatenate(n)), np.concatenate(x), np.concatenate(g), np.concatenate(b)
 
 
+class Features:
+    """:func:`inputs` of words, the steps of earlier words of this worker kept, up to ``room`` of them."""
+
+    def __init__(self, tables: Tables, owner: np.ndarray, room: int = 1 << 21):
+        self.tables, self.owner, self.words, self.start = tables, owner, {}, [0]
+        self.kept = np.empty((room, K), np.float32), np.empty(room, np.uint8), np.empty(room, np.uint8)
+
+    def of(self, found: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """An order of ``found``, and the inputs of its words in that order and of the mark of new words after them."""
+        place = [self.words.get(w, -1) for w in found]
+        old, fresh = [i for i, p in enumerate(place) if p >= 0], [i for i, p in enumerate(place) if p < 0]
+        first, *values = inputs([*[found[i] for i in fresh], NEW_TOKEN], self.tables, self.owner)
+        start, used = np.array(self.start), self.start[-1]
+        at = np.array([place[i] for i in old], np.int64)
+        size = start[at + 1] - start[at]
+        ends = np.cumsum(size)
+        total = int(size.sum())
+        rows = np.repeat(start[at] - (ends - size), size) + np.arange(total)
+        out = [np.concatenate([kept.take(rows, axis=0), v]) for kept, v in zip(self.kept, values)]
+        n = min(len(fresh), int(np.searchsorted(first, len(self.kept[0]) - used, side="right")) - 1)
+        for kept, v in zip(self.kept, values):
+            kept[used:used + first[n]] = v[:first[n]]
+        self.words.update((found[i], len(self.start) - 1 + j) for j, i in enumerate(fresh[:n]))
+        self.start.extend((used + first[1:n + 1]).tolist())
+        return [*old, *fresh], np.concatenate([np.zeros(1, np.int64), ends, total + first[1:]]), *out
+
+
 def first_weights(counts: DataFrame, tables, owner, rounds: int = 4) -> np.ndarray:
     """Weights of each gate that fit the fold's tokens best, by Newton's method; tasks send sums of fixed size."""
     w = np.full((GATES, K), 0.3)
@@ -381,13 +449,13 @@ def mixed(first: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, t
         a = int(np.searchsorted(-total, -at, side="left"))  # texts that go on
         width = np.minimum(n, total[:a] - at)
         starts = np.cumsum(width) - width
-        step = where[np.repeat(begin[:a] + np.int32(at) - starts.astype(np.int32), width) + np.arange(int(width.sum()), dtype=np.int32)]
-        xs, to = x[step], sign[step]
-        rows = np.repeat(np.arange(a, dtype=np.int32), width)
-        cell = rows * GATES + gate[step]
-        z = np.einsum("ak,ak->a", xs, w.reshape(-1, K)[cell])
-        level = rows * LEVELS + np.clip(z + LEVELS // 2, 0, LEVELS - 1).astype(np.int32)
-        z += bias.reshape(-1)[level]
+        step = where.take(np.repeat(begin[:a] + at - starts, width) + np.arange(int(width.sum()))).astype(np.intp)
+        xs, to = x.take(step, axis=0), sign.take(step)
+        rows = np.repeat(np.arange(a), width)
+        cell = rows * GATES + gate.take(step)
+        z = np.einsum("ak,ak->a", xs, w.reshape(-1, K).take(cell, axis=0))
+        level = rows * LEVELS + np.clip(z + LEVELS // 2, 0, LEVELS - 1).astype(np.intp)
+        z += bias.reshape(-1).take(level)
         e = np.exp(np.clip(z * to, -16, 16) * np.float32(-1))
         gain = -np.log1p(e)
         error = to * (e / (1 + e))
@@ -441,7 +509,7 @@ def learn(docs: DataFrame, fold: Column, text: str = "text", head: int = HEAD) -
         del found
     more = counts.union(extra)
     code = Code.of(byte_counts(more))
-    owner = sc.broadcast(owners([*frequent, NEW_TOKEN], code))
+    owner = sc.broadcast(owners(more, code))
     tables, rest = fill_tables(more, code, owner)
     without = sc.broadcast(rest)
     weights = first_weights(counts, without, owner)
@@ -459,19 +527,22 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, t, frequent = TaskContext.get().partitionId() << 40, tables.value, head.value
         bits = np.frombuffer(known.value, np.uint8)
+        held = t.__dict__.setdefault("features", Features(t, owner.value))  # of this worker, for all its tasks
         for batch in pieces(batches, 250):
             index, texts, n_bytes = {}, [], []
             for body in utf8(batch.column(1)):
                 texts.append(np.array([index.setdefault(w, len(index)) for w in [*words(body), END_TOKEN]]))
                 n_bytes.append(len(body))
+            order, first, x, gate, bit = held.of(list(index))  # a new token is its mark, and then its spelling
             found = list(index)
+            found, moved = [found[i] for i in order], np.empty(len(found), np.int64)
+            moved[order] = np.arange(len(order))
+            texts = [moved[t] for t in texts]
             c = np.array([frequent.get(w, 0) for w in found], np.int64)
             value = np.log10(c + 1.0)
             new = np.ones(len(found), bool)
             new[passes(token_hashes(found), bits)] = False
             new &= c == 0
-            # a new token is its mark, and then its spelling
-            first, x, gate, bit = inputs([*found, NEW_TOKEN], t, owner.value)
             nats, spelled = mixed(first, x, gate, bit, texts, new, t.weights)
             cols = [[], [], [], []]
             for ids in texts:

@@ -107,6 +107,23 @@ def test_weights_by_gate_and_bias_by_level():
     assert abs(got[0] - want) < 1e-3 * abs(want)
 
 
+def test_all_tokens_claim_slots_and_features_are_kept(spark):
+    """Contexts of rare tokens count, whatever ``head`` is, and steps that a worker kept are those made anew."""
+    session_settings(spark)
+    m = mixing_lm
+    docs = helpers.docs(spark, [(i, "often often common", "en", "s", 18) for i in range(5)] + [(9, "rarest", "en", "s", 6)])
+    model = m.learn(docs, F.col("doc_id") == 1, head=1)
+    t, owner, found = model.tables.value, model.owner.value, [b"often", b"rarest", b"common", m.END_TOKEN]
+    for _, slots, check, _ in m.steps([b"rarest"], t.code):
+        own = np.array([owner[k][slots[k]] == check[k] for k in range(m.K)])
+        assert own.mean() > 0.9 and (t.stretch[m.K - 1][slots[m.K - 1]] != 0).mean() > 0.9
+    held = m.Features(t, owner, room=120)
+    for words in (found[:2], found, [*reversed(found)], [], found[2:]):
+        order, *got = held.of(words)
+        want = m.inputs([*[words[i] for i in order], m.NEW_TOKEN], t, owner)
+        assert sorted(order) == list(range(len(words))) and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
 def test_whole_fold_sets_the_weights(spark, monkeypatch):
     seen = {}
 
