@@ -38,13 +38,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .base import pieces, query, read, utf8, words
+from .base import pieces, query, read
 from .decontaminate import bloom, passes
 from .tokens import mix
 
@@ -55,33 +56,64 @@ HEAD = 1 << 18
 BLANK, END = 32, 10
 END_TOKEN, NEW_TOKEN = bytes([END]), b"\t"
 _BLOCK = 1 << 13
+_WORDS = 1500
+_ROW = 8
+_PART = 1 << 14
 _SCALE = 10.0
 #: Steps of learning inside a document.
 RATE, BIAS_RATE, LEVELS = 0.0015, 0.004, 16
 
 
+def tokens_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct tokens of an Arrow column of texts, the numbers of all tokens, and where those of each text begin.
+
+    Words are those of ``base.words``, in the order of their first occurrence; the end, last of all, closes every text.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.cast(pa.string()).fill_null("")))  # at blank and \x09 to \x0D
+    flat = lists.flatten()
+    coded = flat.dictionary_encode()
+    ids, first = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    some = pc.binary_length(flat).to_numpy() > 0  # blanks at either end split off empty words
+    first = np.append(0, np.cumsum(some))[first - first[0]]
+    found, ids = coded.dictionary.cast(pa.binary()), ids[some]
+    used = np.zeros(len(found), bool)
+    used[ids] = True
+    ids = (np.cumsum(used) - 1)[ids]
+    found = pa.concat_arrays([found.filter(pa.array(used)), pa.array([END_TOKEN], pa.binary())])
+    return found, np.insert(ids, first[1:], len(found) - 1), first + np.arange(len(first))
+
+
+def plain(column: pa.Array) -> list[bytes]:
+    """Binary values, without an Arrow scalar for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def token_counts(docs: DataFrame, text: str, fold: Column) -> DataFrame:
     """``word``, its count ``c``, and its count where ``fold`` holds, over all rows; the end of a text is a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [Counter(), Counter()]
-
-        def flush():
-            found = list(held[0].keys() | held[1].keys())
-            part = [held[1][w] for w in found]
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.binary()), pa.array([held[0][w] + p for w, p in zip(found, part)], pa.int64()), pa.array(part, pa.int64())],
-                ["word", "c", "c_fold"])
-            held[0].clear(), held[1].clear()
-            return out
-
-        for batch in pieces(batches):
-            for body, own in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                held[bool(own)].update(words(body))
-                held[bool(own)][END_TOKEN] += 1
-            if len(held[0]) + len(held[1]) > 400_000:
-                yield flush()
-        yield flush()
+        held, room = [], 0
+
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum"), ("c_fold", "sum")]).select(
+                ["word", "c_sum", "c_fold_sum"]).rename_columns(["word", "c", "c_fold"]).combine_chunks()
+
+        for batch in pieces(batches, 500):
+            found, ids, first = tokens_of(batch.column(0))
+            own = ids[np.repeat(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), np.diff(first))]
+            part = [np.bincount(x, minlength=len(found)) for x in (ids, own)]
+            held.append(pa.table([found, *map(pa.array, part)], ["word", "c", "c_fold"]))
+            room += len(found)
+            if room > 600_000:
+                held = [added()]
+                room = len(held[0])
+                if room > 400_000:
+                    yield from held[0].to_batches()
+                    held, room = [], 0
+        if held:
+            yield from added().to_batches()
+        held.clear()
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return docs.select(F.col(text), fold).mapInArrow(run, "word binary, c long, c_fold long").groupBy("word").agg(
         F.sum("c").alias("c"), F.sum("c_fold").alias("c_fold"))
@@ -89,9 +121,10 @@ def token_counts(docs: DataFrame, text: str, fold: Column) -> DataFrame:
 
 @dataclass
 class Code:
-    """Huffman codes of a byte after each byte: length, nodes and steps, by 256 times the byte before plus the byte."""
+    """Huffman codes of a byte after each byte, by 256 times the byte before plus the byte: length, and where nodes (hashed) and steps begin."""
 
     length: np.ndarray
+    first: np.ndarray
     node: np.ndarray
     bit: np.ndarray
 
@@ -99,12 +132,9 @@ class Code:
     def of(cls, counts: np.ndarray) -> Code:
         """``counts``: how often a byte follows another, 256 by 256; a blank comes before the first byte of a token."""
         paths = [p for row in np.asarray(counts).reshape(256, 256) for p in _paths(row)]
-        length = np.array([len(p) for p in paths])
-        node, bit = np.zeros((len(paths), length.max()), np.int16), np.zeros((len(paths), length.max()), np.uint8)
-        for i, path in enumerate(paths):
-            for j, (n, b) in enumerate(path):
-                node[i, j], bit[i, j] = n, b
-        return cls(length, node, bit)
+        length = np.array([len(p) for p in paths], np.int32)
+        node, bit = np.array([step for p in paths for step in p], np.uint32).T
+        return cls(length, np.cumsum(length, dtype=np.int32) - length, node * np.uint32(0x9E3779B1), bit.astype(np.uint8))
 
 
 def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -126,8 +156,8 @@ def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
 
 def steps(found: list[bytes], code: Code) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For some words at a time: the number of steps of each word, slots and check bytes of all steps (K by steps), and the steps."""
-    for lo in range(0, len(found), 10_000):
-        part = found[lo:lo + 10_000]
+    for lo in range(0, len(found), _WORDS):
+        part = found[lo:lo + _WORDS]
         data = np.frombuffer(b" ".join(part) + b" ", np.uint8)
         size = np.array([len(w) for w in part]) + 1
         first = np.cumsum(size) - size
@@ -147,17 +177,20 @@ def steps(found: list[bytes], code: Code) -> Iterator[tuple[np.ndarray, np.ndarr
         before = data[np.maximum(np.arange(len(data)) - 1, 0)]
         keep = ~((data == BLANK) & (at == 1) & ((before == END) | (before == NEW_TOKEN[0])))
         pair = np.where(at == 0, BLANK, before).astype(np.int32) * 256 + data
-        length = code.length[pair] * keep
-        of = np.repeat(np.arange(len(data), dtype=np.int32), length)
-        j = np.arange(len(of), dtype=np.int32) - np.repeat((np.cumsum(length) - length).astype(np.int32), length)
-        path = pair[of] * code.node.shape[1] + j
-        node = (code.node.ravel().astype(np.uint32) * np.uint32(0x9E3779B1))[path]
-        slots, check = np.empty((K, len(of)), np.uint32), np.empty((K, len(of)), np.uint8)
+        length = code.length.take(pair) * keep
+        ends = np.cumsum(length, dtype=np.int32)
+        path = np.repeat(code.first.take(pair) - (ends - length), length)
+        path += np.arange(len(path), dtype=np.int32)
+        node = code.node.take(path)
+        slots, check = np.empty((K, len(path)), np.intp), np.empty((K, len(path)), np.uint8)
         for k, c in enumerate(contexts):
-            h = ((c >> np.uint64(32)).astype(np.uint32)[of] + node) * np.uint32(0x85EBCA6B)
+            h = np.repeat((c >> np.uint64(32)).astype(np.uint32), length)
+            h += node
+            h *= np.uint32(0x85EBCA6B)
             slots[k] = h >> np.uint32(32 - TABLE_BITS)
-            check[k] = (h >> np.uint32(31 - TABLE_BITS - 7)).astype(np.uint8) | np.uint8(1)
-        yield np.bincount(word, weights=length, minlength=len(part)).astype(np.int64), slots, check, code.bit.ravel()[path]
+            check[k] = h >> np.uint32(31 - TABLE_BITS - 7) & np.uint32(255)
+        check |= np.uint8(1)
+        yield np.add.reduceat(length, first).astype(np.int64), slots, check, code.bit.take(path)
 
 
 def token_hashes(found: list[bytes]) -> np.ndarray:
@@ -167,7 +200,7 @@ def token_hashes(found: list[bytes]) -> np.ndarray:
 def hashed(counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(token_hashes(batch.column(0).to_pylist()).view(np.int64))], ["h"])
+            yield pa.RecordBatch.from_arrays([pa.array(token_hashes(plain(batch.column(0))).view(np.int64))], ["h"])
 
     return counts.select("word").mapInArrow(run, "h long")
 
@@ -178,7 +211,7 @@ def byte_counts(counts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16)
         for batch in batches:
-            found, c = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float)
+            found, c = plain(batch.column(0)), batch.column(1).to_numpy().astype(float)
             data = np.frombuffer(b" ".join([b"", *found, b""]), np.uint8).astype(np.int64)
             weight = np.repeat(c, [len(w) + 1 for w in found])
             total += np.bincount(data[:-1] * 256 + data[1:], weight, 1 << 16)
@@ -202,7 +235,7 @@ def owners(counts: DataFrame, code: Code, words_a_task: int = 4_000_000) -> np.n
     def claim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((K, size), np.uint32)
         for batch in batches:
-            found, c = batch.column(0).to_pylist(), np.minimum(batch.column(1).to_numpy(), (1 << 24) - 2).astype(np.uint32)
+            found, c = plain(batch.column(0)), np.minimum(batch.column(1).to_numpy(), (1 << 24) - 2).astype(np.uint32)
             c[[w == NEW_TOKEN for w in found]] = (1 << 24) - 1
             done = 0
             for n, slots, check, _ in steps(found, code):
@@ -271,7 +304,7 @@ def fill_tables(counts: DataFrame, code: Code, owner, words_a_task: int = 4_000_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, fold = np.zeros((K, 2 * size), np.float32), None
         for batch in batches:
-            found, c = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float32)
+            found, c = plain(batch.column(0)), batch.column(1).to_numpy().astype(np.float32)
             fold = batch.column(2)[0].as_py() if batch.num_rows else fold
             done = 0
             for n, slots, check, bit in steps(found, code):
@@ -321,55 +354,57 @@ def fill_tables(counts: DataFrame, code: Code, owner, words_a_task: int = 4_000_
     return out[0], out[1]
 
 
-def inputs(found: list[bytes], t: Tables, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all words: where the steps of each begin, predictions (steps by K), gates and steps.
+def inputs(found: list[bytes], t: Tables, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all words: where the steps of each begin, and a row a step: ``K`` predictions as they are in ``t``, the gate, 1 or -1 for the step.
 
     The gate tells how often the word so far was seen, and whether the same step always followed; if it was never seen,
     whether the last five bytes were.
     """
-    n, x, g, b = [np.zeros(1, np.int64)], [], [], []
+    n, rows = [np.zeros(1, np.int64)], [np.zeros((0, _ROW), np.int8)]
     for size, slots, check, bit in steps(found, t.code):
-        part = np.empty((len(bit), K), np.float32)
-        gate = np.zeros(len(bit), np.uint8)
+        part = np.zeros((len(bit), _ROW), np.int8)
         for k in range(K):
-            own = owner[k][slots[k]] == check[k]
-            part[:, k] = t.stretch[k][slots[k]] * own
+            own = owner[k].take(slots[k]) == check[k]
+            np.multiply(t.stretch[k].take(slots[k]), own, out=part[:, k])
             if k == K - 2:
-                gate[own] = 1
+                part[:, K] = own
             if k == K - 1:
-                gate = np.maximum(gate, t.gate[slots[k]] * own)
-        part *= np.float32(1 / _SCALE)
-        n.append(size), x.append(part), g.append(gate), b.append(bit)
-    if not x:
-        return np.zeros(1, np.int64), np.zeros((0, K), np.float32), np.zeros(0, np.uint8), np.zeros(0, np.uint8)
-    return np.cumsum(np.concatenate(n)), np.concatenate(x), np.concatenate(g), np.concatenate(b)
+                np.maximum(part[:, K], t.gate.take(slots[k]).view(np.int8) * own, out=part[:, K])
+        part[:, K + 1] = bit.view(np.int8) * np.int8(2) - np.int8(1)
+        n.append(size), rows.append(part)
+    return np.cumsum(np.concatenate(n)), np.concatenate(rows)
 
 
 class Features:
     """:func:`inputs` of words, the steps of earlier words of this worker kept, up to ``room`` of them."""
 
-    def __init__(self, tables: Tables, owner: np.ndarray, room: int = 1 << 21):
+    def __init__(self, tables: Tables, owner: np.ndarray, room: int = 3 << 20):
         self.tables, self.owner, self.words, self.start = tables, owner, {}, [0]
-        self.kept = np.empty((room, K), np.float32), np.empty(room, np.uint8), np.empty(room, np.uint8)
+        self.kept = np.empty((room, _ROW), np.int8)
+
+    def of(self, found: list[bytes], keep: np.ndarray | None = None) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """An order of ``found``, and the inputs of its words in that order and of the mark of new words after them.
 
-    def of(self, found: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """An order of ``found``, and the inputs of its words in that order and of the mark of new words after them."""
+        ``keep`` tells the words that are likely to come again; without it all are kept.
+        """
         place = [self.words.get(w, -1) for w in found]
         old, fresh = [i for i, p in enumerate(place) if p >= 0], [i for i, p in enumerate(place) if p < 0]
-        first, *values = inputs([*[found[i] for i in fresh], NEW_TOKEN], self.tables, self.owner)
+        if keep is not None:
+            fresh.sort(key=(~keep).tolist().__getitem__)
+        first, made = inputs([*[found[i] for i in fresh], NEW_TOKEN], self.tables, self.owner)
         start, used = np.array(self.start), self.start[-1]
         at = np.array([place[i] for i in old], np.int64)
         size = start[at + 1] - start[at]
         ends = np.cumsum(size)
         total = int(size.sum())
-        rows = np.repeat(start[at] - (ends - size), size) + np.arange(total)
-        out = [np.concatenate([kept.take(rows, axis=0), v]) for kept, v in zip(self.kept, values)]
-        n = min(len(fresh), int(np.searchsorted(first, len(self.kept[0]) - used, side="right")) - 1)
-        for kept, v in zip(self.kept, values):
-            kept[used:used + first[n]] = v[:first[n]]
+        rows = np.repeat(start[at] - (ends - size), size)
+        rows += np.arange(total)
+        out = np.concatenate([self.kept.take(rows, axis=0), made])
+        n = min(len(fresh) if keep is None else int(keep[fresh].sum()), int(np.searchsorted(first, len(self.kept) - used, side="right")) - 1)
+        self.kept[used:used + first[n]] = made[:first[n]]
         self.words.update((found[i], len(self.start) - 1 + j) for j, i in enumerate(fresh[:n]))
         self.start.extend((used + first[1:n + 1]).tolist())
-        return [*old, *fresh], np.concatenate([np.zeros(1, np.int64), ends, total + first[1:]]), *out
+        return [*old, *fresh], np.concatenate([np.zeros(1, np.int64), ends, total + first[1:]]), out
 
 
 def first_weights(counts: DataFrame, tables, owner, rounds: int = 4) -> np.ndarray:
@@ -380,19 +415,21 @@ def first_weights(counts: DataFrame, tables, owner, rounds: int = 4) -> np.ndarr
         def run(batches: Iterator[pa.RecordBatch], w=w) -> Iterator[pa.RecordBatch]:
             total, t = np.zeros((GATES, K + 1, K)), tables.value
             for batch in batches:
-                found, c = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
+                found, c = plain(batch.column(0)), batch.column(1).to_numpy().astype(np.float64)
                 for lo in range(0, len(found), 10_000):
                     own = Counter()
                     for token, n in zip(found[lo:lo + 10_000], c[lo:lo + 10_000]):
                         own[token] += n
-                    first, x, gate, bit = inputs(list(own), t, owner.value)
-                    weight = np.repeat(np.array(list(own.values())), np.diff(first))
-                    x = x.astype(np.float64)
-                    p = 1 / (1 + np.exp(-np.clip((x * w[gate]).sum(axis=1), -20, 20)))
+                    first, made = inputs(list(own), t, owner.value)
+                    order = np.argsort(made[:, K], kind="stable")
+                    made, weight = made.take(order, axis=0), np.repeat(np.array(list(own.values())), np.diff(first)).take(order)
+                    x = (made[:, :K] * np.float32(1 / _SCALE)).astype(np.float64)
+                    ends = np.searchsorted(made[:, K], np.arange(GATES + 1))
                     for g in range(GATES):
-                        m = gate == g
-                        xg, wg, pg = x[m], weight[m], p[m]
-                        total[g, 0] += xg.T @ (wg * (bit[m] - pg))
+                        m = slice(ends[g], ends[g + 1])
+                        xg, wg = x[m], weight[m]
+                        pg = 1 / (1 + np.exp(-np.clip(xg @ w[g], -20, 20)))
+                        total[g, 0] += xg.T @ (wg * ((made[m, K + 1] > 0) - pg))
                         total[g, 1:] += (xg * (wg * pg * (1 - pg))[:, None]).T @ xg
             yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["s"])
 
@@ -419,9 +456,29 @@ def block_sizes(n: int) -> Iterator[tuple[int, int]]:
 
 def mixed(first: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, texts: list[np.ndarray], new: np.ndarray,
           start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`mixed_rows` of predictions, gates and steps apart."""
+    rows = np.zeros((len(x), _ROW), x.dtype)
+    rows[:, :K], rows[:, K], rows[:, K + 1] = x, gate, 2 * bit.astype(np.int8) - 1
+    return mixed_rows(first, rows, texts, new, start)
+
+
+def places(first: np.ndarray, texts: list[np.ndarray], total: np.ndarray, room: np.ndarray, none: int) -> list[np.ndarray]:
+    """The row of each step of each text; ``none`` from its end up to its ``room``."""
+    begin, size, out = first[:-1].astype(np.int32), np.diff(first).astype(np.int32), []
+    for t, n, r in zip(texts, total, room):
+        s = size[t]
+        rows = np.full(r, none, np.int32)
+        np.add(np.repeat(begin[t] - (np.cumsum(s, dtype=np.int32) - s), s), np.arange(n, dtype=np.int32), out=rows[:n])
+        out.append(rows)
+    return out
+
+
+def mixed_rows(first: np.ndarray, rows: np.ndarray, texts: list[np.ndarray], new: np.ndarray, start: np.ndarray,
+               unit: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Natural log probability of each text, a list of word numbers, and that of spelling its new words.
 
-    The last word of ``first`` is the mark that a new word starts with. All texts move on together, the longest last.
+    The last word of ``first`` is the mark that a new word starts with. All texts move on together, the longest first; in a block each
+    takes as many rows (see :func:`inputs`, predictions in ``unit``), empty ones after its end, and some texts at a time go through it.
     """
     size, mark = np.diff(first), len(first) - 2
     coded = []
@@ -430,44 +487,49 @@ def mixed(first: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, t
         coded.append(np.insert(t, at, mark) if len(at) else t)
     total = np.array([int(size[t].sum()) for t in coded], np.int64)
     order = np.argsort(-total, kind="stable")
-    where = []
-    for i in order:
-        t = coded[i]
-        n = size[t]
-        where.append(np.repeat((first[:-1][t] - (np.cumsum(n) - n)).astype(np.int32), n) + np.arange(total[i], dtype=np.int32))
-    where = np.concatenate([*where, np.zeros(1, np.int32)])
     total = total[order]
-    begin = (np.cumsum(total) - total).astype(np.int32)
-    # what doesn't change inside a document: for each step its sign, and whether it spells a new word
-    sign = 2 * bit.astype(np.float32) - 1
-    spells = np.repeat(np.append(new, False), size) if mark >= 0 else np.zeros(0, bool)
+    blocks = [*block_sizes(int(total[0]) if len(total) else 0)]
+    ends = np.array([0, *[at + n for at, n in blocks]])
+    rows = np.concatenate([rows, np.zeros((1, _ROW), rows.dtype)])
+    if mark >= 0:
+        rows[:-1, K + 2] = np.repeat(np.append(new, False), size)  # whether it spells a new word
+    where = places(first, [coded[i] for i in order], total, ends[np.searchsorted(ends, total)], len(rows) - 1)
     any_new = bool(new.any())
-    w = np.repeat(start[None].astype(np.float32), len(texts), axis=0)
+    w = np.repeat((start.T * unit).astype(np.float32)[None], len(texts), axis=0)
     bias = np.zeros((len(texts), LEVELS), np.float32)
     out, spelled = np.zeros(len(texts)), np.zeros(len(texts))
-    for at, n in block_sizes(int(total[0]) if len(total) else 0):
-        a = int(np.searchsorted(-total, -at, side="left"))  # texts that go on
-        width = np.minimum(n, total[:a] - at)
-        starts = np.cumsum(width) - width
-        step = where.take(np.repeat(begin[:a] + at - starts, width) + np.arange(int(width.sum()))).astype(np.intp)
-        xs, to = x.take(step, axis=0), sign.take(step)
-        rows = np.repeat(np.arange(a), width)
-        cell = rows * GATES + gate.take(step)
-        z = np.einsum("ak,ak->a", xs, w.reshape(-1, K).take(cell, axis=0))
-        level = rows * LEVELS + np.clip(z + LEVELS // 2, 0, LEVELS - 1).astype(np.intp)
-        z += bias.reshape(-1).take(level)
-        e = np.exp(np.clip(z * to, -16, 16) * np.float32(-1))
-        gain = -np.log1p(e)
-        error = to * (e / (1 + e))
-        out[:a] += np.add.reduceat(gain, starts)
-        if any_new:
-            spelled[:a] += np.add.reduceat(np.where(spells[step], gain, np.float32(0)), starts)
-        rate = np.float32(RATE * min(1.0, 256 / n))
-        xs *= error[:, None]
-        for k in range(K):
-            w[:a, :, k] += rate * np.bincount(cell, xs[:, k], a * GATES).reshape(a, GATES).astype(np.float32)
-        bias_rate = np.float32(BIAS_RATE * min(1.0, 64 / n))
-        bias[:a] += bias_rate * np.bincount(level, error, a * LEVELS).reshape(a, LEVELS).astype(np.float32)
+    low, high, one = np.float32(-16), np.float32(16), np.float32(1)
+    for at, n in blocks:
+        rate, bias_rate = np.float32(RATE * min(1.0, 256 / n) * unit ** 2), np.float32(BIAS_RATE * min(1.0, 64 / n))
+        a, some = int(np.searchsorted(-total, -at, side="left")), max(1, _PART // n)  # texts that go on, texts at a time
+        for lo in range(0, a, some):
+            hi = min(a, lo + some)
+            m = hi - lo
+            row = rows.take(np.concatenate([p[at:at + n] for p in where[lo:hi]]), axis=0).astype(np.float32, copy=False)
+            x, to = row.reshape(m, n, _ROW)[:, :, :K], row[:, K + 1].copy()
+            cell = row[:, K].astype(np.intp)
+            cell += np.arange(0, m * n * GATES, GATES)
+            z = np.matmul(x, w[lo:hi]).reshape(-1).take(cell)
+            level = np.clip(z + np.float32(LEVELS // 2), np.float32(0), np.float32(LEVELS - 1)).astype(np.intp)
+            level += np.repeat(np.arange(0, m * LEVELS, LEVELS), n)
+            z += bias[lo:hi].reshape(-1).take(level)
+            z *= to
+            e = np.exp(-np.clip(z, low, high, out=z))
+            u = one + e
+            error = e / u * to
+            loss = (np.log(u) + (e - (u - one)) / u).reshape(m, n)  # log1p(e)
+            for i in range(hi - 1, lo - 1, -1):
+                if total[i] >= at + n:
+                    break
+                loss[i - lo, total[i] - at:] = 0
+            out[lo:hi] -= loss.sum(axis=1)
+            if any_new:
+                loss *= row[:, K + 2].reshape(m, n)
+                spelled[lo:hi] -= loss.sum(axis=1)
+            by_gate = np.zeros(m * n * GATES, np.float32)
+            by_gate[cell] = error
+            w[lo:hi] += rate * np.matmul(x.transpose(0, 2, 1), by_gate.reshape(m, n, GATES))
+            bias[lo:hi] += bias_rate * np.bincount(level, error, m * LEVELS).reshape(m, LEVELS).astype(np.float32)
     back = np.empty((2, len(texts)))
     back[:, order] = out - spelled, spelled
     return back[0], back[1]
@@ -505,7 +567,7 @@ def learn(docs: DataFrame, fold: Column, text: str = "text", head: int = HEAD) -
     frequent: dict[bytes, int] = {}
     if least is not None:  # at most ``head`` rows
         found = counts.where(level >= least).select("word", "c").toArrow()
-        frequent = dict(sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist()), key=lambda r: (r[1], r[0])))
+        frequent = dict(sorted(zip(plain(found.column(0)), found.column(1).to_pylist()), key=lambda r: (r[1], r[0])))
         del found
     more = counts.union(extra)
     code = Code.of(byte_counts(more))
@@ -529,35 +591,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
         bits = np.frombuffer(known.value, np.uint8)
         held = t.__dict__.setdefault("features", Features(t, owner.value))  # of this worker, for all its tasks
         for batch in pieces(batches, 250):
-            index, texts, n_bytes = {}, [], []
-            for body in utf8(batch.column(1)):
-                texts.append(np.array([index.setdefault(w, len(index)) for w in [*words(body), END_TOKEN]]))
-                n_bytes.append(len(body))
-            order, first, x, gate, bit = held.of(list(index))  # a new token is its mark, and then its spelling
-            found = list(index)
-            found, moved = [found[i] for i in order], np.empty(len(found), np.int64)
-            moved[order] = np.arange(len(order))
-            texts = [moved[t] for t in texts]
+            every, ids, first = tokens_of(batch.column(1))
+            found, n_bytes = plain(every), pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
             c = np.array([frequent.get(w, 0) for w in found], np.int64)
-            value = np.log10(c + 1.0)
-            new = np.ones(len(found), bool)
-            new[passes(token_hashes(found), bits)] = False
-            new &= c == 0
-            nats, spelled = mixed(first, x, gate, bit, texts, new, t.weights)
-            cols = [[], [], [], []]
-            for ids in texts:
-                own = c[ids]
-                rare, times = np.unique(ids[own == 0], return_counts=True)
-                cols[0].append(int((own > 0).sum()))
-                cols[1].append(float(value[ids].sum()))
-                cols[2].append([found[i] for i in rare])
-                cols[3].append(times.tolist())
-            ids = np.arange(row, row + batch.num_rows)
+            new = c == 0
+            rarer = np.flatnonzero(new)
+            new[rarer[passes(token_hashes([found[i] for i in rarer]), bits)]] = False
+            order, begin, x = held.of(found, c > 0)  # a new token is its mark, and then its spelling
+            moved = np.empty(len(found), np.int64)
+            moved[order] = np.arange(len(order))
+            nats, spelled = mixed_rows(begin, x, np.split(moved[ids], first[1:-1]), new[order], t.weights, 1 / _SCALE)
+            # rare tokens of each text, once each
+            rare = np.flatnonzero(c[ids] == 0)
+            which, times = np.unique((np.searchsorted(first, rare, side="right") - 1) * len(found) + ids[rare], return_counts=True)
+            each = pa.array(np.searchsorted(which, np.arange(len(first)) * len(found)), pa.int32())
+            rows = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(ids), pa.array([len(x) for x in texts], pa.int64()), pa.array(cols[0], pa.int64()),
-                pa.array(cols[1], pa.float64()), pa.array(nats / np.log(10)), pa.array((nats + spelled) / -np.log(2) / np.maximum(1, n_bytes)),
-                pa.array(cols[2], pa.list_(pa.binary())), pa.array(cols[3], pa.list_(pa.int64()))],
+                batch.column(0), pa.array(rows), pa.array(np.diff(first), pa.int64()), pa.array(np.add.reduceat(c[ids] > 0, first[:-1], dtype=np.int64)),
+                pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], first[:-1])), pa.array(nats / np.log(10)),
+                pa.array((nats + spelled) / -np.log(2) / np.maximum(1, n_bytes)),
+                pa.ListArray.from_arrays(each, every.take(pa.array(which % len(found)))), pa.ListArray.from_arrays(each, pa.array(times, pa.int64()))],
                 [id_col, "_row", "n_tokens", "_known", "_base", "score", "bits_per_byte", "_rare", "_times"])
 
     rows = stage(docs.select(id_col, text).mapInArrow(

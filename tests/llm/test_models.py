@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,42 @@ def test_all_tokens_claim_slots_and_features_are_kept(spark):
         assert sorted(order) == list(range(len(words))) and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
 
 
+def test_tokens_of_a_batch_are_those_of_each_text():
+    for texts in ([" a  b\x0b\x1cC\x85 ", "", None, "\x1f  z\x00y", "A a É é\t\n"], [None], ["  "], ["q q"]):
+        column = pa.array(["zz k", *texts, "hh"], pa.string()).slice(1, len(texts))
+        found, ids, first = mixing_lm.tokens_of(column)
+        found = mixing_lm.plain(found)
+        got = [[found[i] for i in ids[a:b]] for a, b in zip(first, first[1:])]
+        assert got == [[w.encode() for w in tokens(t)] for t in texts]
+        assert len(set(found)) == len(found) == len(set(ids.tolist()))
+
+
+def test_rows_of_a_step_are_small_and_parts_of_a_block_are_scored_alike(monkeypatch):
+    """Eight bytes a step, mixed as the predictions themselves are, however many texts go through a block at a time."""
+    m = mixing_lm
+    rng = np.random.default_rng(2)
+    first, n = np.array([0, 300, 700, 708]), 708
+    said, gate, bit = rng.integers(-80, 80, (n, m.K)).astype(np.int8), rng.integers(0, m.GATES, n), rng.integers(0, 2, n).astype(np.uint8)
+    rows = np.zeros((n, m._ROW), np.int8)
+    rows[:, :m.K], rows[:, m.K], rows[:, m.K + 1] = said, gate, 2 * bit.astype(np.int8) - 1
+    texts, new, start = [rng.integers(0, 2, k) for k in (1, 9, 30, 2, 0)], np.array([False, True]), np.full((m.GATES, m.K), 0.3)
+    want = m.mixed(first, said / np.float32(10), gate, bit, texts, new, start)
+    for part in (64, 200, 1 << 14):
+        monkeypatch.setattr(m, "_PART", part)
+        assert all(np.allclose(a, b, rtol=1e-5, atol=1e-6) for a, b in zip(m.mixed_rows(first, rows.copy(), texts, new, start, 0.1), want))
+
+
+def test_only_words_worth_keeping_are_kept():
+    m = mixing_lm
+    t = m.Tables(m.Code.of(np.arange(1 << 16)), np.zeros((m.K, 1 << m.TABLE_BITS), np.int8), np.zeros(1 << m.TABLE_BITS, np.uint8))
+    owner = np.zeros((m.K, 1 << m.TABLE_BITS), np.uint8)
+    held = m.Features(t, owner, room=500)
+    assert held.kept.nbytes == 500 * 8
+    for _ in range(2):
+        order, first, rows = held.of([b"rare", b"often", b"once"], np.array([False, True, False]))
+        assert list(held.words) == [b"often"] and sorted(order) == [0, 1, 2] and len(rows) == first[-1]
+
+
 def test_whole_fold_sets_the_weights(spark, monkeypatch):
     seen = {}
 
